@@ -171,3 +171,15 @@ def player_kill_stats_joined(kills: DataFrame, by: Sequence[str] = ()) -> DataFr
         .na.fill(0, ["kills", "deaths", "assists", "headshots"])
     )
     return _finish(joined, by)
+
+
+def with_snapshot_id(kills: DataFrame, window_seconds: int = 60, out_col: str = "batch_id") -> DataFrame:
+    """Batch id from replay time: one snapshot per ``window_seconds`` of match
+    time, the deterministic stand-in for arrival-time micro-batches."""
+    return kills.withColumn(out_col, F.floor(F.col("timestamp_seconds") / window_seconds).cast("long"))
+
+
+def player_stats_snapshots(kills: DataFrame, window_seconds: int = 60) -> DataFrame:
+    """Per-batch statistics of every batch at once (backfill of the
+    ``player_stats`` table): one job, one shuffle on ``(batch_id, player_id)``."""
+    return player_kill_stats(with_snapshot_id(kills, window_seconds), by=["batch_id"])

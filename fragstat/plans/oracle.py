@@ -195,3 +195,96 @@ ORACLE_SQL: dict[str, str] = {
     "player_damage_stats": PLAYER_DAMAGE_STATS,
     "player_damage_stats_exact": PLAYER_DAMAGE_STATS,
 }
+
+
+# --- decode, routing, replay ------------------------------------------------
+
+def _csv_line(columns_sql: str) -> str:
+    """SQL for one CSV line of the given ``expr AS name`` list (NULL -> '')."""
+    names = [c.strip().rsplit(" AS ", 1)[1] for c in columns_sql.strip().split(",\n")]
+    return " || ',' || ".join(f"coalesce(CAST({n} AS VARCHAR), '')" for n in names)
+
+
+CSV_DECODE_KILLS = f"SELECT {KILL_COLUMNS_SQL} FROM lineitem"
+
+CSV_DECODE_DAMAGES = f"""
+WITH {DAMAGES_CTE}
+SELECT *, victim_health - victim_new_health AS damage_dealt FROM damages
+"""
+
+MATCH_FILE_NAME_SQL = """
+  'team_' || CAST(l_suppkey AS VARCHAR) || '.vs_' || CAST(l_partkey % 7 AS VARCHAR)
+  || '-m' || CAST(l_linenumber AS VARCHAR) || '_'
+  || CASE l_returnflag WHEN 'A' THEN 'kills.v2' WHEN 'R' THEN ' damages ' ELSE 'kills' END
+  || '.csv'
+"""
+
+TOPIC_ROUTING = f"""
+WITH files AS (SELECT {MATCH_FILE_NAME_SQL} AS file_name FROM lineitem)
+SELECT file_name,
+       'game.' || trim(split_part(string_split(regexp_replace(file_name, '_+$', ''), '_')[-1], '.', 1)) AS topic,
+       COUNT(*) AS events
+FROM files GROUP BY ALL
+"""
+
+ELAPSED_SECONDS = """
+SELECT l_orderkey AS tick,
+       (l_orderkey * 7) // 1000 AS timestamp_seconds,
+       CAST(floor(l_orderkey * 7.8125 / 1000) AS BIGINT) AS timestamp_seconds_128
+FROM lineitem
+"""
+
+REPLAY_PAYLOADS = f"""
+WITH {KILLS_CTE}, {DAMAGES_CTE}
+SELECT 'game.kills' AS topic, CAST(tick AS VARCHAR) || ':' || coalesce(CAST(frame AS VARCHAR), '') AS key,
+       {_csv_line(KILL_COLUMNS_SQL)} AS value
+FROM kills
+UNION ALL
+SELECT 'game.damages', CAST(tick AS VARCHAR) || ':' || coalesce(CAST(frame AS VARCHAR), ''),
+       {_csv_line(DAMAGE_COLUMNS_SQL)}
+FROM damages
+"""
+
+# --- snapshots and dashboards -------------------------------------------------
+
+SNAPSHOT_KILLS_CTE = (
+    f"kills AS (SELECT {KILL_COLUMNS_SQL}, ((l_orderkey * 7) // 1000) // 60 AS batch_id FROM lineitem)"
+)
+
+PLAYER_STATS_SNAPSHOTS = f"""
+WITH {SNAPSHOT_KILLS_CTE},
+{_kill_stats_sql('batch_id')}
+SELECT * FROM stats
+"""
+
+KD_TREND = f"""
+WITH {SNAPSHOT_KILLS_CTE},
+{_kill_stats_sql('batch_id')}
+SELECT DISTINCT kd_ratio, timestamp_seconds FROM stats
+WHERE timestamp_seconds IS NOT NULL
+ORDER BY timestamp_seconds
+"""
+
+PLAYER_TOTALS = f"""
+WITH {SNAPSHOT_KILLS_CTE},
+{_kill_stats_sql('batch_id')}
+SELECT player_name,
+       CAST(SUM(kills) AS BIGINT) AS kills,
+       CAST(SUM(deaths) AS BIGINT) AS deaths,
+       CAST(SUM(assists) AS BIGINT) AS assists,
+       CAST(SUM(CAST(round(kd_ratio * 100) AS BIGINT)) AS DOUBLE) / 100 AS kd_ratio,
+       CAST(SUM(CAST(round(headshot_percentage * 100) AS BIGINT)) AS DOUBLE) / 100 AS headshots_persantage
+FROM stats WHERE player_name IS NOT NULL
+GROUP BY player_name
+"""
+
+ORACLE_SQL.update({
+    "csv_decode_kills": CSV_DECODE_KILLS,
+    "csv_decode_damages": CSV_DECODE_DAMAGES,
+    "topic_routing": TOPIC_ROUTING,
+    "elapsed_seconds": ELAPSED_SECONDS,
+    "replay_payloads": REPLAY_PAYLOADS,
+    "player_stats_snapshots": PLAYER_STATS_SNAPSHOTS,
+    "kd_trend": KD_TREND,
+    "player_totals": PLAYER_TOTALS,
+})

@@ -10,10 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.decode import decode_csv, encode_csv, with_damage_dealt
+from ..functions.routing import elapsed_seconds, topic_for_file
 from ..operators import damage_stats as dmg
+from ..operators import dashboards as dash
 from ..operators import kill_stats as ks
-from ..sources.testviews import damages_view, kills_view
+from ..operators.replay import replay_order, to_payload
+from ..schemas import DAMAGES_TOPIC, KILLS_TOPIC
+from ..sources.testviews import damages_view, kills_view, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +32,54 @@ def _on_damages(op) -> Query:
     return lambda spark, sf_dir: op(damages_view(spark, sf_dir))
 
 
+def csv_roundtrip(events: DataFrame) -> DataFrame:
+    """Encode every row as a topic-style binary CSV payload, decode it back
+    with the same schema: the decode path at full table size."""
+    payload = events.select(encode_csv(events.columns).cast("binary").alias("value"))
+    return decode_csv(payload, events.schema)
+
+
+def match_file_names(lineitem: DataFrame) -> DataFrame:
+    """Match-log file names derived from lineitem rows (with dots, extra
+    ``_`` parts, spaces and version suffixes, to exercise the routing rule)."""
+    l = F.col
+    kind = (F.when(l("l_returnflag") == "A", "kills.v2")
+            .when(l("l_returnflag") == "R", " damages ").otherwise("kills"))
+    return lineitem.select(F.concat(
+        F.lit("team_"), l("l_suppkey").cast("string"), F.lit(".vs_"),
+        (l("l_partkey") % 7).cast("string"), F.lit("-m"), l("l_linenumber").cast("string"),
+        F.lit("_"), kind, F.lit(".csv")).alias("file_name"))
+
+
+def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = match_file_names(read_table(spark, sf_dir, "lineitem"))
+    return (files.groupBy("file_name", topic_for_file("file_name").alias("topic"))
+            .agg(F.count("*").alias("events")))
+
+
+def elapsed_seconds_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tick = F.col("l_orderkey")
+    return read_table(spark, sf_dir, "lineitem").select(
+        tick.alias("tick"),
+        elapsed_seconds(tick).alias("timestamp_seconds"),
+        elapsed_seconds(tick, 7.8125).alias("timestamp_seconds_128"),
+    )
+
+
+def replay_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both event kinds as (topic, key, value) records in replay order."""
+    def records(events: DataFrame, topic: str) -> DataFrame:
+        return to_payload(events.withColumn("topic", F.lit(topic)), events.columns, keep=("tick",))
+
+    both = records(kills_view(spark, sf_dir), KILLS_TOPIC).unionByName(
+        records(damages_view(spark, sf_dir), DAMAGES_TOPIC))
+    return replay_order(both, keys=("tick", "topic")).drop("tick")
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ks.player_stats_snapshots(kills_view(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "player_kill_stats": _on_kills(ks.player_kill_stats),
     "player_kill_stats_joined": _on_kills(ks.player_kill_stats_joined),
@@ -36,4 +90,12 @@ QUERIES: dict[str, Query] = {
     "damage_dealt": _on_damages(dmg.damage_dealt_rows),
     "player_damage_stats": _on_damages(dmg.player_damage_stats),
     "player_damage_stats_exact": _on_damages(lambda d: dmg.player_damage_stats(d, exact=True)),
+    "csv_decode_kills": _on_kills(csv_roundtrip),
+    "csv_decode_damages": _on_damages(lambda d: with_damage_dealt(csv_roundtrip(d))),
+    "topic_routing": topic_routing,
+    "elapsed_seconds": elapsed_seconds_query,
+    "replay_payloads": replay_payloads,
+    "player_stats_snapshots": _snapshots,
+    "kd_trend": lambda spark, sf_dir: dash.kd_trend(_snapshots(spark, sf_dir)),
+    "player_totals": lambda spark, sf_dir: dash.player_totals(_snapshots(spark, sf_dir)),
 }
