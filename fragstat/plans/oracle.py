@@ -288,3 +288,38 @@ ORACLE_SQL.update({
     "kd_trend": KD_TREND,
     "player_totals": PLAYER_TOTALS,
 })
+
+
+# --- staged through files and streams ----------------------------------------
+
+def _without_replay_time(columns_sql: str) -> str:
+    return ",\n".join(c for c in columns_sql.strip().split(",\n") if not c.strip().endswith(" AS timestamp_seconds"))
+
+
+# Match-log files are read with the declared kill schema, where tick is INT.
+MATCH_LOG_KILLS = f"""
+WITH {KILLS_CTE}
+SELECT * REPLACE (CAST(tick AS INTEGER) AS tick), 'game.kills' AS topic FROM kills
+"""
+
+RAW_LINES = f"""
+WITH {KILLS_CTE}
+SELECT {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line FROM kills
+"""
+
+STREAM_KILL_STATS = f"""
+WITH {KILLS_CTE},
+{_kill_stats_sql()}
+SELECT *, CAST(0 AS BIGINT) AS batch_id FROM stats
+"""
+
+STREAM_DAMAGE_STATS = f"""
+SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({PLAYER_DAMAGE_STATS})
+"""
+
+ORACLE_SQL.update({
+    "match_log_kills": MATCH_LOG_KILLS,
+    "raw_lines": RAW_LINES,
+    "stream_kill_stats": STREAM_KILL_STATS,
+    "stream_damage_stats": STREAM_DAMAGE_STATS,
+})

@@ -20,6 +20,7 @@ from ..operators import kill_stats as ks
 from ..operators.replay import replay_order, to_payload
 from ..schemas import DAMAGES_TOPIC, KILLS_TOPIC
 from ..sources.testviews import damages_view, kills_view, read_table
+from .staged import STAGED_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +100,4 @@ QUERIES: dict[str, Query] = {
     "kd_trend": lambda spark, sf_dir: dash.kd_trend(_snapshots(spark, sf_dir)),
     "player_totals": lambda spark, sf_dir: dash.player_totals(_snapshots(spark, sf_dir)),
 }
+QUERIES.update(STAGED_QUERIES)
