@@ -103,6 +103,12 @@ def file_schema(schema: StructType) -> StructType:
     return StructType([f for f in schema.fields if f.name != REPLAY_TIME_COLUMN])
 
 
+def nullable(schema: StructType) -> StructType:
+    """Every field nullable -- the schema rows have after ``from_csv`` or
+    the CSV reader, which do not enforce NOT NULL."""
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def to_ddl(schema: StructType) -> str:
     """DDL string accepted by ``from_csv`` / ``DataFrameReader.schema``."""
     return ", ".join(

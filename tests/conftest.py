@@ -1,0 +1,58 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from fragstat.schemas import DAMAGES, KILLS, nullable  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("fragstat-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def _rows(schema, rows):
+    names = schema.fieldNames()
+    for r in rows:
+        unknown = set(r) - set(names)
+        assert not unknown, unknown
+    return [tuple(r.get(n) for n in names) for r in rows]
+
+
+@pytest.fixture()
+def make_kills(spark):
+    """Kill events from dicts; unspecified columns are NULL (frame/tick/round 0)."""
+    def make(rows):
+        base = [{"frame": 0, "tick": 0, "round": 0, **r} for r in rows]
+        return spark.createDataFrame(_rows(KILLS, base), nullable(KILLS))
+    return make
+
+
+@pytest.fixture()
+def make_damages(spark):
+    def make(rows):
+        base = [{"frame": 0, "tick": 0, "round": 0, **r} for r in rows]
+        return spark.createDataFrame(_rows(DAMAGES, base), nullable(DAMAGES))
+    return make
+
+
+def sorted_rows(df, cols=None):
+    cols = cols or df.columns
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)

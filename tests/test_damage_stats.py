@@ -1,0 +1,56 @@
+from pyspark.sql import functions as F
+
+from conftest import sorted_rows
+from fragstat.functions.decode import damage_dealt
+from fragstat.operators.damage_stats import OUTPUT_COLUMNS, player_damage_stats
+
+
+def hand(make_damages):
+    # (attacker, damage_dealt, round) as victim_health - victim_new_health
+    rows = [(1, 10, 1), (1, None, 2), (None, 5, 1), (4, None, 1)]
+    return make_damages([
+        dict(attacker_steamid=a, victim_health=None if d is None else 100,
+             victim_new_health=None if d is None else 100 - d, round=r)
+        for a, d, r in rows
+    ])
+
+
+def test_hand_made_case(make_damages):
+    for exact in (False, True):
+        out = player_damage_stats(hand(make_damages), exact=exact)
+        assert out.columns == OUTPUT_COLUMNS
+        assert sorted_rows(out) == sorted([(1, 10, 2, 5.0), (4, None, 1, None), (None, 5, 1, 5.0)], key=repr)
+
+
+def test_null_player_can_be_dropped(make_damages):
+    out = player_damage_stats(hand(make_damages), drop_null_player=True)
+    assert None not in [r.player_id for r in out.collect()]
+
+
+def test_damage_dealt_semantics(spark):
+    df = spark.createDataFrame(
+        [(100, 60), (50, 80), (None, 3), (2147483647, -1)], "victim_health int, victim_new_health int")
+    assert [r[0] for r in df.select(damage_dealt()).collect()] == [40, -30, None, None]
+
+
+def test_zero_rounds_gives_zero(make_damages):
+    df = make_damages([dict(attacker_steamid=1, victim_health=100, victim_new_health=90, round=None)])
+    df = df.withColumn("round", F.lit(None).cast("int"))
+    row = player_damage_stats(df, exact=True).first()
+    assert (row.total_damage, row.rounds, row.damage_per_round) == (10, 0, 0.0)
+
+
+def test_rounds_per_match(make_damages):
+    rows = [dict(attacker_steamid=1, victim_health=100, victim_new_health=90, round=r, match_checksum=m)
+            for m in ("m1", "m2") for r in (1, 2)]
+    df = make_damages(rows)
+    assert player_damage_stats(df, exact=True).first().rounds == 2
+    for exact in (True, False):
+        row = player_damage_stats(df, exact=exact, round_keys=("match_checksum", "round")).first()
+        assert (row.rounds, row.damage_per_round) == (4, 10.0)
+
+
+def test_approx_rounds_with_rsd(make_damages):
+    rows = [dict(attacker_steamid=1, victim_health=1, victim_new_health=0, round=r) for r in range(1, 61)]
+    row = player_damage_stats(make_damages(rows), rsd=0.01).first()
+    assert row.rounds == 60

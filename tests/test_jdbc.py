@@ -1,0 +1,32 @@
+from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, MapType, StringType, StructField, StructType,
+                               TimestampType)
+
+from fragstat.schemas import PLAYER_STATS
+from fragstat.sinks.jdbc import create_table_ddl, jdbc_ready, sql_type
+from fragstat.sinks.table import stamp
+
+
+def test_sql_types():
+    cases = {StringType(): "TEXT", IntegerType(): "INTEGER", LongType(): "BIGINT",
+             DoubleType(): "DOUBLE PRECISION", FloatType(): "REAL", BooleanType(): "BOOLEAN",
+             DecimalType(10, 2): "DECIMAL", TimestampType(): "TIMESTAMP", DateType(): "DATE",
+             ArrayType(IntegerType()): "TEXT", MapType(StringType(), IntegerType()): "TEXT"}
+    for dtype, name in cases.items():
+        assert sql_type(dtype) == name
+
+
+def test_create_table_ddl_in_column_order(spark):
+    df = stamp(spark.createDataFrame([], PLAYER_STATS))
+    assert create_table_ddl("player_stats", df.schema) == (
+        "CREATE TABLE IF NOT EXISTS player_stats (player_id BIGINT, player_name TEXT, kills BIGINT, "
+        "deaths BIGINT, assists BIGINT, kd_ratio DOUBLE PRECISION, headshot_percentage DOUBLE PRECISION, "
+        "timestamp_seconds BIGINT, recorded_at TIMESTAMP)")
+
+
+def test_complex_columns_become_json(spark):
+    df = spark.createDataFrame([(1, [1, 2])], "a int, b array<int>")
+    out = jdbc_ready(df)
+    assert dict(out.dtypes) == {"a": "int", "b": "string"}
+    assert out.first().b == "[1,2]"

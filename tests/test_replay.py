@@ -1,0 +1,28 @@
+from pyspark.sql import functions as F
+
+from conftest import sorted_rows
+from fragstat.operators.replay import replay_order, route_topic, to_payload, with_elapsed_seconds
+from fragstat.schemas import KILLS, nullable
+from fragstat.sources.topic import decode_events
+
+
+def test_replay_order_is_tick_then_file_then_frame(spark):
+    df = spark.createDataFrame(
+        [(5, "b_kills.csv", 1), (1, "b_kills.csv", 2), (5, "a_damages.csv", 3), (1, "b_kills.csv", 1), (3, "a_damages.csv", 9)],
+        "tick int, file_name string, frame int")
+    out = [tuple(r) for r in replay_order(df.repartition(3)).collect()]
+    assert out == [(1, "b_kills.csv", 1), (1, "b_kills.csv", 2), (3, "a_damages.csv", 9),
+                   (5, "a_damages.csv", 3), (5, "b_kills.csv", 1)]
+
+
+def test_payload_round_trip(spark, make_kills):
+    src = make_kills([dict(frame=i, tick=i * 3, round=1, killer_name=f"n{i}", killer_steamid=i,
+                           victim_steamid=i + 1, headshot=i % 2, distance=i / 7) for i in range(20)])
+    src = with_elapsed_seconds(src.drop("timestamp_seconds"))
+    records = to_payload(src.withColumn("file_name", F.lit("m_kills.csv")).transform(route_topic), src.columns)
+    assert records.columns == ["topic", "key", "value"]
+    assert {r.topic for r in records.collect()} == {"game.kills"}
+    back = decode_events(records, "kills")
+    assert sorted_rows(back) == sorted_rows(src.select(*KILLS.fieldNames()))
+    keys = sorted(r.key for r in records.collect())
+    assert keys[0] == "0:0"
