@@ -14,8 +14,10 @@ per-batch statistics are defined.  Two implementations:
   to cross-check the one-pass form.
 
 ``player_name`` and ``timestamp_seconds`` come from the player's earliest
-kill (lowest tick; rows without a tick last; further ties by name, then
-time), which makes the choice deterministic.
+kill: lowest tick, kills without a tick last, ties broken by the smaller
+name, then the smaller time.  Only two kills of one player with the same
+name and tick but different times are left to chance; on the replay clock
+time is a function of the tick, so that does not happen within a match.
 
 ``by`` adds grouping keys in front of the player id (for example a batch or
 match id), so many snapshots are computed in the same single job.
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from ..functions.metrics import headshot_percentage, kd_ratio
 
 KILLER, VICTIM, ASSISTER = 0, 1, 2
+# Ordering value of a kill without a tick: after every real tick.
+NO_TICK = 2**63 - 1
 
 OUTPUT_COLUMNS = [
     "player_id", "player_name", "kills", "deaths", "assists",
@@ -38,14 +42,22 @@ OUTPUT_COLUMNS = [
 ]
 
 
-def _first_kill_key() -> Column:
-    """Ordering struct whose minimum is the player's representative kill."""
-    return F.struct(
-        F.col("tick").isNull().alias("no_tick"),
-        F.col("tick").alias("tick"),
-        F.col("killer_name").alias("player_name"),
-        F.col("timestamp_seconds").alias("timestamp_seconds"),
-    )
+def _kill_order() -> Column:
+    return F.coalesce(F.col("tick").cast("long"), F.lit(NO_TICK))
+
+
+def _first_kill(per_name: DataFrame, by: Sequence[str], counts: Sequence[Column] = ()) -> DataFrame:
+    """Second level of the identity: per player, the (name, time) of the
+    name group holding the earliest kill (ties: smaller name, then time).
+
+    ``per_name`` has one row per (player, name) with ``first_order`` and
+    ``first_ts``, so this aggregate sees a handful of rows per player.
+    """
+    earliest = F.min(F.when(
+        F.col("first_order").isNotNull(),
+        F.struct("first_order", F.col("name").alias("player_name"), F.col("first_ts").alias("timestamp_seconds")),
+    )).alias("first_kill")
+    return per_name.groupBy(*by, "player_id").agg(*counts, earliest)
 
 
 def _finish(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -62,43 +74,51 @@ def _finish(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def _role(player: str, role: int, killer: bool) -> Column:
+    def only_killer(col: Column, dtype: str) -> Column:
+        return col if killer else F.lit(None).cast(dtype)
+
+    return F.struct(
+        F.col(player).alias("player_id"),
+        F.lit(role).alias("role"),
+        ((F.col("headshot") == 1) if killer else F.lit(False)).alias("headshot"),
+        only_killer(F.col("killer_name"), "string").alias("name"),
+        only_killer(_kill_order(), "long").alias("kill_order"),
+        only_killer(F.col("timestamp_seconds").cast("long"), "long").alias("ts"),
+    )
+
+
 def player_kill_stats(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One-pass form: one scan, one shuffle on ``(*by, player_id)``."""
+    """One-pass form: one scan; every row-level aggregate is a hash
+    aggregate with a map-side partial step.
+
+    Level 1 groups the role rows by ``(player_id, name)`` -- counts, and the
+    earliest kill of each name group (``min`` / ``min_by`` on a long, so the
+    aggregation buffer stays fixed-width).  Level 2 folds the few name
+    groups of each player into one row.
+    """
     by = list(by)
     roles = F.array(
-        F.struct(
-            F.col("killer_steamid").alias("player_id"),
-            F.lit(KILLER).alias("role"),
-            (F.col("headshot") == 1).alias("headshot"),
-            _first_kill_key().alias("first_kill"),
-        ),
-        F.struct(
-            F.col("victim_steamid").alias("player_id"),
-            F.lit(VICTIM).alias("role"),
-            F.lit(False).alias("headshot"),
-            F.when(F.lit(False), _first_kill_key()).alias("first_kill"),
-        ),
-        F.struct(
-            F.col("assister_steamid").alias("player_id"),
-            F.lit(ASSISTER).alias("role"),
-            F.lit(False).alias("headshot"),
-            F.when(F.lit(False), _first_kill_key()).alias("first_kill"),
-        ),
+        _role("killer_steamid", KILLER, True),
+        _role("victim_steamid", VICTIM, False),
+        _role("assister_steamid", ASSISTER, False),
     )
     role = F.col("role")
-    per_player = (
+    per_name = (
         kills.select(*by, F.inline(roles))
         .where(F.col("player_id").isNotNull())
-        .groupBy(*by, "player_id")
+        .groupBy(*by, "player_id", "name")
         .agg(
             F.count_if(role == KILLER).alias("kills"),
             F.count_if(role == VICTIM).alias("deaths"),
             F.count_if(role == ASSISTER).alias("assists"),
             F.count_if(F.col("headshot")).alias("headshots"),
-            F.min("first_kill").alias("first_kill"),
+            F.min("kill_order").alias("first_order"),
+            F.min_by("ts", "kill_order").alias("first_ts"),
         )
-        .where(F.col("kills") > 0)
     )
+    counts = [F.sum(c).alias(c) for c in ("kills", "deaths", "assists", "headshots")]
+    per_player = _first_kill(per_name, by, counts).where(F.col("kills") > 0)
     return _finish(per_player, by)
 
 
@@ -134,22 +154,28 @@ def assists_by_assister(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def player_identity(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row per killer: ``(player_id, player_name, timestamp_seconds)``
-    of the earliest kill -- a deterministic ``dropDuplicates(killer)``."""
+def _identity_per_name(kills: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
         kills.where(F.col("killer_steamid").isNotNull())
-        .groupBy(*by, F.col("killer_steamid").alias("player_id"))
-        .agg(F.min(_first_kill_key()).alias("first_kill"))
-        .select(
-            *by,
-            "player_id",
-            F.col("first_kill.player_name").alias("player_name"),
-            F.col("first_kill.timestamp_seconds").alias("timestamp_seconds"),
+        .groupBy(*by, F.col("killer_steamid").alias("player_id"), F.col("killer_name").alias("name"))
+        .agg(
+            F.min(_kill_order()).alias("first_order"),
+            F.min_by(F.col("timestamp_seconds").cast("long"), _kill_order()).alias("first_ts"),
         )
     )
 
 
+def player_identity(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per killer: ``(player_id, player_name, timestamp_seconds)``
+    of the earliest kill -- a deterministic ``dropDuplicates(killer)``."""
+    return _first_kill(_identity_per_name(kills, by), by).select(
+        *by,
+        "player_id",
+        F.col("first_kill.player_name").alias("player_name"),
+        F.col("first_kill.timestamp_seconds").alias("timestamp_seconds"),
+    )
+
+
 def player_kill_stats_joined(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Join form: kills LEFT JOIN deaths LEFT JOIN assists JOIN names."""
     by = list(by)
@@ -158,11 +184,7 @@ def player_kill_stats_joined(kills: DataFrame, by: Sequence[str] = ()) -> DataFr
         *by, "killer_steamid", "victim_steamid", "assister_steamid",
         "killer_name", "headshot", "tick", "timestamp_seconds",
     )
-    names = (
-        base.where(F.col("killer_steamid").isNotNull())
-        .groupBy(*by, F.col("killer_steamid").alias("player_id"))
-        .agg(F.min(_first_kill_key()).alias("first_kill"))
-    )
+    names = _first_kill(_identity_per_name(base, by), by)
     joined = (
         kills_by_killer(base, by)
         .join(deaths_by_victim(base, by), keys, "left")

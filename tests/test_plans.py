@@ -8,13 +8,18 @@ from fragstat.sources.testviews import damages_view, kills_view
 from conftest import SF_SMALL
 
 
-def test_one_pass_has_one_scan_and_one_shuffle(spark):
+def test_one_pass_reads_once_and_hash_aggregates_rows(spark):
     plan = plan_text(player_kill_stats(kills_view(spark, SF_SMALL)))
     assert count_nodes(plan, "FileScan parquet") == 1
-    assert count_nodes(plan, "Exchange hashpartitioning") == 1
     assert "BroadcastExchange" not in plan
-    # the partial aggregate sits before the shuffle (map-side combine)
-    assert "partial_count" in plan
+    # row level: one hash aggregate on (player, name) with a map-side partial
+    # step; the second exchange only carries one row per player and name
+    lines = plan.splitlines()
+    exchanges = [i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l]
+    assert len(exchanges) == 2
+    below_first_shuffle = lines[exchanges[-1]:]
+    assert any("HashAggregate" in l and "partial_count" in l for l in below_first_shuffle)
+    assert not any("SortAggregate" in l for l in below_first_shuffle)
 
 
 def test_join_form_scans_four_times(spark):
