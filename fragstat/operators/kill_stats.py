@@ -3,12 +3,13 @@
 One row per player **with at least one kill** among the input rows, as the
 per-batch statistics are defined.  Two implementations:
 
-* :func:`player_kill_stats` -- one scan, one shuffle.  Every kill row is
-  turned into up to three (player, role) rows with ``inline``, NULL ids are
-  dropped, and a single ``groupBy(player_id)`` counts each role with
-  ``count_if``.  The partial (map-side) aggregate collapses the 3x fan-out
-  to one row per player per task before the shuffle, so a player holding a
-  third of all rows sends one row per task, not a third of the data.
+* :func:`player_kill_stats` -- one scan.  Every kill row is turned into up
+  to three (player, role) rows with ``inline``, NULL ids are dropped, and a
+  hash aggregate on ``(player_id, name)`` counts each role with
+  ``count_if``.  Its partial (map-side) step collapses the 3x fan-out to one
+  row per player and name per task before the shuffle, so a player holding
+  a third of all rows sends one row per task, not a third of the data.  A
+  second, small shuffle folds the name groups of a player together.
 * :func:`player_kill_stats_joined` -- three aggregates, a name lookup and
   three equi-joins on the player id: the straightforward formulation, kept
   to cross-check the one-pass form.
