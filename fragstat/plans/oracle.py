@@ -304,9 +304,13 @@ SELECT * REPLACE (CAST(tick AS INTEGER) AS tick), 'game.kills' AS topic FROM kil
 
 RAW_LINES = f"""
 WITH {KILLS_CTE}
-SELECT {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line FROM kills
+SELECT {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line,
+       CAST(tick AS INTEGER) AS tick
+FROM kills
 """
 
+ROSTER_LINES = "SELECT CAST(s_suppkey AS VARCHAR) || ',' || s_name AS line FROM supplier"
+
 STREAM_KILL_STATS = f"""
 WITH {KILLS_CTE},
 {_kill_stats_sql()}
@@ -320,6 +324,7 @@ SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({PLAYER_DAMAGE_STATS})
 ORACLE_SQL.update({
     "match_log_kills": MATCH_LOG_KILLS,
     "raw_lines": RAW_LINES,
+    "roster_lines": ROSTER_LINES,
     "stream_kill_stats": STREAM_KILL_STATS,
     "stream_damage_stats": STREAM_DAMAGE_STATS,
 })

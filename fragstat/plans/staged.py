@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
+from ..functions.routing import raw_field
 from ..operators.replay import to_payload
 from ..schemas import KILLS_TOPIC
 from ..sinks.matchlog import write_match_logs
 from ..sinks.table import RECORDED_AT, read_result_table, table_sink
 from ..sinks.topic import append_topic_log
-from ..sources.files import name_glob, read_lines, read_match_logs
-from ..sources.testviews import damages_view, kills_view
+from ..sources.files import name_glob, read_lines, read_match_logs, read_roster
+from ..sources.testviews import damages_view, kills_view, read_table
 from ..sources.topic import decode_events, read_topic_log
 from ..streaming.jobs import start_damage_stats, start_kill_stats
 
@@ -34,9 +35,22 @@ def match_log_kills(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw, unparsed lines of the kill match-log files (headers dropped)."""
+    """Raw, unparsed lines of the kill match-log files (headers dropped),
+    with the tick split out of each line without CSV parsing."""
     folder = stage_match_logs(spark, kills_view(spark, sf_dir), "kills")
-    return read_lines(spark, folder, glob=name_glob("kills"))
+    lines = read_lines(spark, folder, glob=name_glob("kills"))
+    return lines.select("line", raw_field("line", 1, "int").alias("tick"))
+
+
+def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roster lines of every ``*_players.csv`` file in a match folder that
+    also holds kill files (which the roster source must skip).  The roster
+    is ``steamid,name`` per supplier row."""
+    folder = stage_match_logs(spark, kills_view(spark, sf_dir), "kills")
+    players = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("steamid"), F.col("s_name").alias("name"))
+    write_match_logs(players, folder, "players", add_to_folder=True)
+    return read_roster(spark, folder).select("line")
 
 
 def _finish_stream(spark: SparkSession, query, table: str) -> DataFrame:
@@ -77,6 +91,7 @@ def stream_damage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGED_QUERIES = {
     "match_log_kills": match_log_kills,
     "raw_lines": raw_lines,
+    "roster_lines": roster_lines,
     "stream_kill_stats": stream_kill_stats,
     "stream_damage_stats": stream_damage_stats,
 }

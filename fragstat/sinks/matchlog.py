@@ -15,12 +15,20 @@ from ..functions.decode import ENCODE_OPTIONS
 from ..schemas import REPLAY_TIME_COLUMN
 
 
-def write_match_logs(df: DataFrame, folder: str, kind: str, max_records_per_file: int | None = None) -> int:
+def write_match_logs(
+    df: DataFrame,
+    folder: str,
+    kind: str,
+    max_records_per_file: int | None = None,
+    add_to_folder: bool = False,
+) -> int:
     """Write ``df`` (event columns in schema order) as match-log files of
-    ``kind`` into the new folder ``folder``; returns the number of files.
-    The replay time column is left out, as match-log files do not hold it."""
+    ``kind`` into ``folder`` (a new folder unless ``add_to_folder``); returns
+    the number of files written.  The replay time column is left out, as
+    match-log files do not hold it."""
     cols = [c for c in df.columns if c != REPLAY_TIME_COLUMN]
-    writer = df.select(*cols).write.mode("errorifexists").option("header", True)
+    mode = "append" if add_to_folder else "errorifexists"
+    writer = df.select(*cols).write.mode(mode).option("header", True)
     for key, value in ENCODE_OPTIONS.items():
         writer = writer.option(key, value)
     if max_records_per_file:
@@ -34,7 +42,8 @@ def write_match_logs(df: DataFrame, folder: str, kind: str, max_records_per_file
     renamed = 0
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith("part-") and name.endswith(".csv"):
+        # fresh part files only: renamed ones already carry a ``_<kind>`` suffix
+        if name.startswith("part-") and name.endswith(".csv") and "_" not in name:
             target = jvm.org.apache.hadoop.fs.Path(folder, f"{name[:-4]}_{kind}.csv")
             if not fs.rename(status.getPath(), target):
                 raise OSError(f"could not rename {name} in {folder}")
