@@ -44,10 +44,20 @@ def session_settings(cpus: int | None = None) -> dict[str, str]:
     }
 
 
-def build_session(master: str | None = None, app_name: str = "fragstat", cpus: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None,
+    app_name: str = "fragstat",
+    cpus: int | None = None,
+    local_memory: str | None = None,
+) -> SparkSession:
+    """Session with :func:`session_settings`.  ``local_memory`` sizes the
+    driver heap for ``local[...]`` masters, where the driver JVM also runs
+    every task; on a cluster, memory is a deploy-time setting."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if local_memory and master.startswith("local"):
+            builder = builder.config("spark.driver.memory", local_memory)
     for key, value in session_settings(cpus).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
