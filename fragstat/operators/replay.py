@@ -35,14 +35,33 @@ def with_elapsed_seconds(
     return df.withColumn(out_col, elapsed_seconds(tick_col, ms_per_tick))
 
 
-def replay_order(df: DataFrame, keys: Sequence[str] = REPLAY_ORDER, by: Sequence[str] = ()) -> DataFrame:
+def replay_order(
+    df: DataFrame,
+    keys: Sequence[str] = REPLAY_ORDER,
+    by: Sequence[str] = (),
+    num_partitions: int | None = None,
+) -> DataFrame:
     """Rows in replay order: by tick, then file, then frame (within ``by``,
-    e.g. a match id).  ``orderBy`` range-partitions on the keys, so the sort
-    is spread over all tasks; a row's position inside its file is not
-    exposed by the file readers, so ``frame`` stands in for line order.
+    e.g. a match id).  A row's position inside its file is not exposed by
+    the file readers, so ``frame`` stands in for line order.
+
+    The sort is range-partitioned over all tasks.  A hash of the whole row is
+    the last sort key: it makes the order total (identical keys no longer
+    come out in arbitrary order) and lets the range partitioner split a hot
+    key -- say tick 0 of many matches -- across tasks instead of sending it
+    to one.  Unlike the aggregates, a full sort moves all the data, so size
+    ``num_partitions`` by input volume (about input / 200 MB) at scale; by
+    default ``spark.sql.shuffle.partitions`` is used.
     """
     cols = [c for c in (*by, *keys) if c in df.columns]
-    return df.orderBy(*cols)
+    tiebreak = "_replay_tiebreak"
+    ranked = df.withColumn(tiebreak, F.xxhash64(*[F.col(c) for c in df.columns]))
+    order = [*cols, tiebreak]
+    if num_partitions:
+        ranked = ranked.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+    else:
+        ranked = ranked.orderBy(*order)
+    return ranked.drop(tiebreak)
 
 
 def message_key(cols: Sequence[str]) -> F.Column:

@@ -26,3 +26,17 @@ def test_payload_round_trip(spark, make_kills):
     assert sorted_rows(back) == sorted_rows(src.select(*KILLS.fieldNames()))
     keys = sorted(r.key for r in records.collect())
     assert keys[0] == "0:0"
+
+
+def test_replay_order_is_total_and_splits_hot_keys(spark):
+    # one tick shared by every row: the hash tiebreak orders and spreads them
+    df = spark.createDataFrame([(0, "m_kills.csv", i, f"v{i}") for i in range(400)],
+                               "tick int, file_name string, frame int, value string")
+    hot = df.withColumn("frame", F.lit(None).cast("int"))
+    first = [r.value for r in replay_order(hot.repartition(4)).collect()]
+    second = [r.value for r in replay_order(hot.repartition(7)).collect()]
+    assert first == second and sorted(first) == sorted(r.value for r in hot.collect())
+    ranged = replay_order(hot, num_partitions=4)
+    sizes = [n for n in ranged.rdd.glom().map(len).collect() if n]
+    assert len(sizes) > 1 and max(sizes) < 400
+    assert replay_order(hot, num_partitions=4).columns == hot.columns
