@@ -1,3 +1,4 @@
+import glob
 import importlib
 import os
 import sys
@@ -28,7 +29,9 @@ def test_query_matches_duckdb_at_sf0001(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{SF_SMALL}/lineitem.parquet')")
+    for path in sorted(glob.glob(f"{SF_SMALL}/*.parquet")):
+        table = os.path.basename(path)[: -len(".parquet")]
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
     res = con.execute(E.oracle_sql()[name])
     cols = [d[0] for d in res.description]
     want = res.fetchall()
