@@ -322,6 +322,7 @@ SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({PLAYER_DAMAGE_STATS})
 """
 
 ORACLE_SQL.update({
+    "backfill_player_stats": PLAYER_STATS_SNAPSHOTS,
     "match_log_kills": MATCH_LOG_KILLS,
     "raw_lines": RAW_LINES,
     "roster_lines": ROSTER_LINES,

@@ -14,7 +14,8 @@ from ..functions.routing import raw_field
 from ..operators.replay import to_payload
 from ..schemas import KILLS_TOPIC
 from ..sinks.matchlog import write_match_logs
-from ..sinks.table import RECORDED_AT, read_result_table, table_sink
+from ..operators.kill_stats import player_stats_snapshots
+from ..sinks.table import RECORDED_AT, read_result_table, table_sink, write_batches
 from ..sinks.topic import append_topic_log
 from ..sources.files import name_glob, read_lines, read_match_logs, read_roster
 from ..sources.testviews import damages_view, kills_view, read_table
@@ -53,6 +54,14 @@ def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_roster(spark, folder).select("line")
 
 
+def backfill_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every per-minute snapshot written to the result table in one job,
+    then read back as the dashboards read it."""
+    table = scratch_path(spark, "tables", "player_stats_backfill")
+    write_batches(player_stats_snapshots(kills_view(spark, sf_dir)), table)
+    return read_result_table(spark, table).drop(RECORDED_AT)
+
+
 def _finish_stream(spark: SparkSession, query, table: str) -> DataFrame:
     query.awaitTermination()
     if query.exception():
@@ -92,6 +101,7 @@ STAGED_QUERIES = {
     "match_log_kills": match_log_kills,
     "raw_lines": raw_lines,
     "roster_lines": roster_lines,
+    "backfill_player_stats": backfill_player_stats,
     "stream_kill_stats": stream_kill_stats,
     "stream_damage_stats": stream_damage_stats,
 }

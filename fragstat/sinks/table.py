@@ -37,6 +37,26 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
     )
 
 
+def write_batches(df: DataFrame, path: str, fmt: str = "parquet", order: tuple[str, ...] = ("player_id",)) -> None:
+    """Backfill: write rows that already carry ``batch_id`` for many batches
+    in one job, replacing exactly the batches present.
+
+    Rows are range-partitioned on ``(batch_id, *order)`` first, so each task
+    writes a contiguous run of batches (few files per batch) and a large
+    batch is still spread over several tasks.
+    """
+    keys = [BATCH_COLUMN, *[c for c in order if c in df.columns]]
+    (
+        df.withColumn(RECORDED_AT, F.current_timestamp())
+        .repartitionByRange(*keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH_COLUMN)
+        .format(fmt)
+        .save(path)
+    )
+
+
 def table_sink(path: str, fmt: str = "parquet"):
     """``(df, batch_id) -> None`` writer for :mod:`fragstat.streaming`."""
     def sink(df: DataFrame, batch_id: int) -> None:

@@ -116,3 +116,20 @@ def test_empty_batches_write_nothing(spark, tmp_path):
     stream = read_match_logs(spark, str(folder), "damages", streaming=True)
     _run(start_damage_stats(stream, table_sink(table), str(tmp_path / "ck"), trigger={"availableNow": True}))
     assert not os.path.exists(table)
+
+
+def test_backfill_replaces_only_its_batches(spark, make_kills, tmp_path):
+    from fragstat.operators.kill_stats import player_kill_stats
+    from fragstat.sinks.table import write_batches
+
+    kills = _random_kills(make_kills, 300, 21)
+    snapshots = player_kill_stats(kills, by=["round"]).withColumnRenamed("round", "batch_id") \
+        .withColumn("batch_id", F.col("batch_id").cast("long"))
+    table = str(tmp_path / "table")
+    write_batches(snapshots, table)
+    before = read_result_table(spark, table)
+    counts = {r.batch_id: r["count"] for r in before.groupBy("batch_id").count().collect()}
+    assert sorted(counts) == [1, 2, 3]
+    write_batches(snapshots.where("batch_id = 2"), table)   # re-run of one batch
+    after = read_result_table(spark, table)
+    assert {r.batch_id: r["count"] for r in after.groupBy("batch_id").count().collect()} == counts
