@@ -65,7 +65,10 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
     memory = os.environ.get("BENCH_MEMORY", "8g")
-    spark = build_session(f"local[{cpus}]", app_name="fragstat-bench", cpus=cpus, local_memory=memory)
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # a scratch folder; see tools/stage_report.py
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log} if event_log else {}
+    spark = build_session(f"local[{cpus}]", app_name="fragstat-bench", cpus=cpus,
+                          local_memory=memory, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     lineitem_rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()

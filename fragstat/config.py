@@ -49,6 +49,7 @@ def build_session(
     app_name: str = "fragstat",
     cpus: int | None = None,
     local_memory: str | None = None,
+    extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session with :func:`session_settings`.  ``local_memory`` sizes the
     driver heap for ``local[...]`` masters, where the driver JVM also runs
@@ -58,7 +59,7 @@ def build_session(
         builder = builder.master(master)
         if local_memory and master.startswith("local"):
             builder = builder.config("spark.driver.memory", local_memory)
-    for key, value in session_settings(cpus).items():
+    for key, value in {**session_settings(cpus), **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
