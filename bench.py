@@ -55,6 +55,15 @@ def csv_source_queries(spark, sf_dir: str) -> dict:
     }
 
 
+def default_heap() -> str:
+    """Half the machine's memory, at most 8 GB (local mode: one JVM runs all)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "2g"
+    return f"{max(1, min(8, total // 2**30 // 2))}g"
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -64,7 +73,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = sys.argv[1:] or HEADLINE
-    memory = os.environ.get("BENCH_MEMORY", "8g")
+    memory = os.environ.get("BENCH_MEMORY") or default_heap()
     event_log = os.environ.get("BENCH_EVENT_LOG")  # a scratch folder; see tools/stage_report.py
     extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log} if event_log else {}
     spark = build_session(f"local[{cpus}]", app_name="fragstat-bench", cpus=cpus,
