@@ -212,6 +212,19 @@ WITH {DAMAGES_CTE}
 SELECT *, victim_health - victim_new_health AS damage_dealt FROM damages
 """
 
+# Kills without a killer were cut after field 10 (tail NULL); headshot lines
+# carry an unparsable tick.
+CSV_DECODE_MALFORMED = f"""
+WITH {KILLS_CTE}
+SELECT * REPLACE (
+  CASE WHEN killer_steamid IS NULL THEN tick WHEN headshot = 1 THEN NULL ELSE tick END AS tick,
+  CASE WHEN killer_steamid IS NULL THEN NULL ELSE assister_steamid END AS assister_steamid,
+  CASE WHEN killer_steamid IS NULL THEN NULL ELSE headshot END AS headshot,
+  CASE WHEN killer_steamid IS NULL THEN NULL ELSE timestamp_seconds END AS timestamp_seconds
+)
+FROM kills
+"""
+
 MATCH_FILE_NAME_SQL = """
   'team_' || CAST(l_suppkey AS VARCHAR) || '.vs_' || CAST(l_partkey % 7 AS VARCHAR)
   || '-m' || CAST(l_linenumber AS VARCHAR) || '_'
@@ -281,6 +294,7 @@ GROUP BY player_name
 ORACLE_SQL.update({
     "csv_decode_kills": CSV_DECODE_KILLS,
     "csv_decode_damages": CSV_DECODE_DAMAGES,
+    "csv_decode_malformed": CSV_DECODE_MALFORMED,
     "topic_routing": TOPIC_ROUTING,
     "elapsed_seconds": ELAPSED_SECONDS,
     "replay_payloads": REPLAY_PAYLOADS,

@@ -40,6 +40,20 @@ def csv_roundtrip(events: DataFrame) -> DataFrame:
     return decode_csv(payload, events.schema)
 
 
+def csv_malformed_roundtrip(events: DataFrame) -> DataFrame:
+    """Decode payloads damaged on purpose, derived row by row: lines of kills
+    without a killer keep only their first 10 fields (the tail must decode
+    to NULL), headshot lines get an unparsable tick (that field NULL, the
+    rest intact).  Every row is kept (PERMISSIVE)."""
+    line = encode_csv(events.columns)
+    payload = (
+        F.when(F.col("killer_steamid").isNull(), F.substring_index(line, ",", 10))
+        .when(F.col("headshot") == 1, F.regexp_replace(line, "^([^,]*),", "$1,x"))
+        .otherwise(line)
+    )
+    return decode_csv(events.select(payload.alias("value")), events.schema)
+
+
 def match_file_names(lineitem: DataFrame) -> DataFrame:
     """Match-log file names derived from lineitem rows (with dots, extra
     ``_`` parts, spaces and version suffixes, to exercise the routing rule)."""
@@ -93,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "player_damage_stats_exact": _on_damages(lambda d: dmg.player_damage_stats(d, exact=True)),
     "csv_decode_kills": _on_kills(csv_roundtrip),
     "csv_decode_damages": _on_damages(lambda d: with_damage_dealt(csv_roundtrip(d))),
+    "csv_decode_malformed": _on_kills(csv_malformed_roundtrip),
     "topic_routing": topic_routing,
     "elapsed_seconds": elapsed_seconds_query,
     "replay_payloads": replay_payloads,
