@@ -102,6 +102,26 @@ def jdbc_sink(url: str, table: str, properties: dict[str, str], **kwargs):
     return sink
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str]) -> DataFrame:
-    """Result table over JDBC; filters on it are pushed to the database."""
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: dict[str, str],
+    partition_column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Result table over JDBC; filters on it are pushed to the database.
+
+    Without a partition column the read is one query on one connection (one
+    task).  For a large table pass a numeric column (``batch_id``) with its
+    bounds and ``num_partitions``: Spark then issues that many range queries
+    in parallel.
+    """
+    if partition_column:
+        return spark.read.jdbc(
+            url, table, column=partition_column, lowerBound=lower_bound,
+            upperBound=upper_bound, numPartitions=num_partitions, properties=properties,
+        )
     return spark.read.jdbc(url, table, properties=properties)
