@@ -35,7 +35,10 @@ def read_topic(
 ) -> DataFrame:
     """Subscribe to one topic: new queries start at ``latest`` and lost
     offsets do not fail the query.  ``min_partitions`` splits the topic's
-    partitions into more Spark tasks than the topic has partitions."""
+    partitions into more Spark tasks than the topic has partitions (the
+    topic may have only two).  Pass ``maxOffsetsPerTrigger`` through
+    ``options`` to bound a micro-batch, so a backlog after downtime is
+    worked off in several batches instead of one oversized one."""
     reader = spark.readStream if streaming else spark.read
     reader = (
         reader.format(fmt)
