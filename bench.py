@@ -22,9 +22,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from fragstat.config import build_session, scratch_path  # noqa: E402
 from fragstat.operators.kill_stats import player_kill_stats, player_kill_stats_joined  # noqa: E402
 from fragstat.plans.registry import QUERIES  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from fragstat.operators.replay import to_payload  # noqa: E402
+from fragstat.schemas import KILLS_TOPIC  # noqa: E402
 from fragstat.sinks.matchlog import write_match_logs  # noqa: E402
+from fragstat.sinks.topic import append_topic_log  # noqa: E402
 from fragstat.sources.files import read_match_logs  # noqa: E402
 from fragstat.sources.testviews import kills_view  # noqa: E402
+from fragstat.sources.topic import decode_events, read_topic_log  # noqa: E402
 
 HEADLINE = [
     "player_kill_stats",
@@ -39,19 +45,40 @@ HEADLINE = [
     "match_log_kills",
     "stream_kill_stats",
     "stream_damage_stats",
-    # the two kill-stats forms over CSV match logs staged once: every scan
-    # re-parses the lines, the row-format case of the streaming path
+    # inputs staged once, spread over as many files as cores:
+    # CSV match logs (every scan re-parses the lines) ...
     "csv_player_kill_stats",
     "csv_player_kill_stats_joined",
+    # ... and topic payloads, the streaming path: decode alone, then decode
+    # with each form of the statistics
+    "topic_decode_kills",
+    "topic_player_kill_stats",
+    "topic_player_kill_stats_joined",
 ]
 
+STAGED = ("csv_", "topic_")
+
 
-def csv_source_queries(spark, sf_dir: str) -> dict:
+def staged_queries(spark, sf_dir: str, cpus: int) -> dict:
+    kills = kills_view(spark, sf_dir)
     folder = scratch_path(spark, "bench", "matchlogs")
-    write_match_logs(kills_view(spark, sf_dir), folder, "kills")
+    write_match_logs(kills.repartition(cpus), folder, "kills")
+    log = scratch_path(spark, "bench", "topiclog")
+    records = to_payload(kills.withColumn("topic", F.lit(KILLS_TOPIC)), kills.columns)
+    append_topic_log(records.repartition(cpus), log)
+
+    def csv(s):
+        return read_match_logs(s, folder, "kills")
+
+    def topic(s):
+        return decode_events(read_topic_log(s, log, KILLS_TOPIC, streaming=False), "kills")
+
     return {
-        "csv_player_kill_stats": lambda s, _: player_kill_stats(read_match_logs(s, folder, "kills")),
-        "csv_player_kill_stats_joined": lambda s, _: player_kill_stats_joined(read_match_logs(s, folder, "kills")),
+        "csv_player_kill_stats": lambda s, _: player_kill_stats(csv(s)),
+        "csv_player_kill_stats_joined": lambda s, _: player_kill_stats_joined(csv(s)),
+        "topic_decode_kills": lambda s, _: topic(s),
+        "topic_player_kill_stats": lambda s, _: player_kill_stats(topic(s)),
+        "topic_player_kill_stats_joined": lambda s, _: player_kill_stats_joined(topic(s)),
     }
 
 
@@ -85,8 +112,8 @@ def main() -> None:
     for name in ("player_kill_stats", "player_damage_stats"):
         run(QUERIES[name](spark, sf_dir))
     queries = dict(QUERIES)
-    if any(n.startswith("csv_player") for n in names):
-        queries.update(csv_source_queries(spark, sf_dir))
+    if any(n.startswith(STAGED) and n not in QUERIES for n in names):
+        queries.update(staged_queries(spark, sf_dir, cpus))
     timings: dict[str, float] = {}
     for name in names:
         query = queries[name]
