@@ -75,7 +75,9 @@ def stream_kill_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "topiclog")
     kills = kills_view(spark, sf_dir)
     records = to_payload(kills.withColumn("topic", F.lit(KILLS_TOPIC)), kills.columns)
-    append_topic_log(records, log)
+    # one log file per core, as a topic with that many partitions: the
+    # files of a file-backed topic log are its unit of read parallelism
+    append_topic_log(records.repartition(spark.sparkContext.defaultParallelism), log)
     stream = decode_events(read_topic_log(spark, log, KILLS_TOPIC), "kills")
     table = scratch_path(spark, "tables", "player_stats")
     query = start_kill_stats(
