@@ -68,14 +68,14 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None, with_fil
     Uses the CSV reader with quoting off and an unused separator, so every
     line is one string field and the header is dropped per file.  Empty and
     header-only files give no rows; blank lines are skipped.  Row order
-    across splits is not promised.
+    across splits is not promised.  A line containing the separator
+    character U+0001 is cut there (log lines do not contain it).
     """
     reader = (
         spark.read.schema(LINE_SCHEMA)
         .option("header", True)
         .option("sep", "\u0001")
         .option("quote", "")
-        .option("nullValue", None)
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
