@@ -10,6 +10,7 @@ local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,18 +23,20 @@ def session_settings(cpus: int | None = None) -> dict[str, str]:
     """Settings for the jobs in this package.
 
     * AQE re-plans at run time: it coalesces small shuffle partitions and
-      splits skewed ones, so ``shuffle.partitions`` can be sized for the
-      largest stage (about 2-3 x the total cores, or input / 128 MB).
+      splits skewed join partitions.
+    * ``spark.sql.shuffle.partitions`` is set only when the core count is
+      known (local masters): about 2x the cores.  On a cluster the driver's
+      own core count says nothing about the executors, so the cluster's
+      setting is kept; the aggregates here shuffle only map-side reduced
+      rows, and full sorts take an explicit partition count.
     * Parquet scans split at 128 MB, so a task's input fits executor memory.
     * Python call-site capture for error messages is off (driver planning
       cost only; errors still carry the JVM plan context).
     """
-    cores = cpus or os.cpu_count() or 8
-    return {
+    settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(max(8, 2 * cores)),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
@@ -42,6 +45,19 @@ def session_settings(cpus: int | None = None) -> dict[str, str]:
         # JVM round trips and a stack walk each, which dominates planning time.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
+    if cpus:
+        settings["spark.sql.shuffle.partitions"] = str(max(8, 2 * cpus))
+    return settings
+
+
+def local_cores(master: str | None) -> int | None:
+    """Cores of a ``local[N]`` / ``local[*]`` / ``local`` master, else None."""
+    if not master or not master.startswith("local"):
+        return None
+    match = re.match(r"local\[(\d+|\*)", master)
+    if not match:
+        return 1
+    return os.cpu_count() or 1 if match.group(1) == "*" else int(match.group(1))
 
 
 def build_session(
@@ -59,7 +75,8 @@ def build_session(
         builder = builder.master(master)
         if local_memory and master.startswith("local"):
             builder = builder.config("spark.driver.memory", local_memory)
-    for key, value in {**session_settings(cpus), **(extra or {})}.items():
+    settings = session_settings(cpus or local_cores(master))
+    for key, value in {**settings, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
