@@ -30,3 +30,20 @@ def test_complex_columns_become_json(spark):
     out = jdbc_ready(df)
     assert dict(out.dtypes) == {"a": "int", "b": "string"}
     assert out.first().b == "[1,2]"
+
+
+def test_write_jdbc_reaches_the_driver_lookup(spark):
+    """No database may be started here: check the writer is well formed up to
+    loading the JDBC driver class (which does not exist), opening nothing."""
+    import pytest
+
+    from fragstat.sinks.jdbc import read_jdbc, write_jdbc
+
+    df = spark.createDataFrame([(1, [1, 2])], "player_id bigint, tags array<int>")
+    props = {"driver": "org.example.MissingDriver", "user": "u", "password": "p"}
+    with pytest.raises(Exception, match="MissingDriver"):
+        write_jdbc(df, "jdbc:example://nowhere/db", "player_stats", props, batch_id=3,
+                   num_partitions=2, batch_size=500)
+    with pytest.raises(Exception, match="MissingDriver"):
+        read_jdbc(spark, "jdbc:example://nowhere/db", "player_stats", props,
+                  partition_column="batch_id", lower_bound=0, upper_bound=10, num_partitions=4)
