@@ -1,6 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
-
 from fragstat.functions.decode import decode_csv, encode_csv
 from fragstat.schemas import KILLS, nullable
 from fragstat.sources.topic import decode_events

@@ -1,8 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
-
 from conftest import sorted_rows
 from fragstat.operators.kill_stats import player_kill_stats
 from fragstat.sinks.matchlog import write_match_logs

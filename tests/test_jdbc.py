@@ -1,7 +1,5 @@
-from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, DoubleType, FloatType,
-                               IntegerType, LongType, MapType, StringType, StructField, StructType,
-                               TimestampType)
+                               IntegerType, LongType, MapType, StringType, TimestampType)
 
 from fragstat.schemas import PLAYER_STATS
 from fragstat.sinks.jdbc import create_table_ddl, jdbc_ready, sql_type

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import sorted_rows
 from fragstat.operators.replay import replay_order, route_topic, to_payload, with_elapsed_seconds
-from fragstat.schemas import KILLS, nullable
+from fragstat.schemas import KILLS
 from fragstat.sources.topic import decode_events
 
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from fragstat.functions.routing import elapsed_seconds, raw_field, topic_for_file
 

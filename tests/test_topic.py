@@ -3,8 +3,6 @@ and no broker may be started, so the wrappers are checked up to the data
 source lookup; the file-backed topic log covers the data path."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from fragstat.sinks.topic import append_topic_log, publish
 from fragstat.sources.topic import TOPIC_LOG_SCHEMA, read_topic, read_topic_log
 
