@@ -124,3 +124,13 @@ def test_snapshots_split_by_time(make_kills):
     ])
     out = ks.player_stats_snapshots(df, window_seconds=60)
     assert sorted_rows(out, ["batch_id", "player_id", "kills", "timestamp_seconds"]) == [(0, 1, 1, 5), (1, 1, 1, 65)]
+
+
+def test_grouped_join_form_equals_grouped_one_pass(make_kills):
+    # time as a function of the tick (the replay clock), so ties on
+    # (player, name, tick) cannot carry different times
+    df = _random_kills(make_kills, 400, 8).withColumn("timestamp_seconds", (F.col("tick") / 10).cast("long"))
+    cols = ["round", "player_id", "player_name", "kills", "deaths", "assists",
+            "kd_ratio", "headshot_percentage", "timestamp_seconds"]
+    assert sorted_rows(ks.player_kill_stats(df, by=["round"]), cols) == \
+        sorted_rows(ks.player_kill_stats_joined(df, by=["round"]), cols)
