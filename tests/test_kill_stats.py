@@ -122,8 +122,9 @@ def test_snapshots_split_by_time(make_kills):
         dict(killer_steamid=1, victim_steamid=2, tick=1, timestamp_seconds=5),
         dict(killer_steamid=1, victim_steamid=2, tick=2, timestamp_seconds=65),
     ])
-    out = ks.player_stats_snapshots(df, window_seconds=60)
-    assert sorted_rows(out, ["batch_id", "player_id", "kills", "timestamp_seconds"]) == [(0, 1, 1, 5), (1, 1, 1, 65)]
+    for joined in (False, True):
+        out = ks.player_stats_snapshots(df, window_seconds=60, joined=joined)
+        assert sorted_rows(out, ["batch_id", "player_id", "kills", "timestamp_seconds"]) == [(0, 1, 1, 5), (1, 1, 1, 65)]
 
 
 def test_grouped_join_form_equals_grouped_one_pass(make_kills):
