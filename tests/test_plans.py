@@ -40,3 +40,24 @@ def test_damage_stats_single_shuffle(spark):
     plan = plan_text(player_damage_stats(damages_view(spark, SF_SMALL)))
     assert count_nodes(plan, "Exchange hashpartitioning") == 1
     assert "HashAggregate" in plan
+
+
+def test_no_registered_plan_funnels_through_one_task(spark):
+    """No single-partition exchange, cartesian product or nested-loop join in
+    any registered query that does not stage data (those run writes)."""
+    from fragstat.plans.registry import QUERIES
+    from fragstat.plans.staged import STAGED_QUERIES
+
+    for name, query in QUERIES.items():
+        if name in STAGED_QUERIES:
+            continue
+        plan = plan_text(query(spark, SF_SMALL))
+        for bad in ("SinglePartition", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
+
+
+def test_replay_order_is_a_range_partitioned_sort(spark):
+    from fragstat.plans.registry import QUERIES
+
+    plan = plan_text(QUERIES["replay_payloads"](spark, SF_SMALL))
+    assert "rangepartitioning" in plan
