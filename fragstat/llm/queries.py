@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from fragstat.llm.bpe import decode, encode
 from fragstat.llm.exact_dedup import exact_groups
 from fragstat.llm.sharding import record_size, shard_documents
 from fragstat.llm.url_filters import judge_urls, rules_frame
@@ -22,6 +25,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = decode(encode(docs, path), path)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents")).drop("n_points")
 
@@ -71,6 +84,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_bpe": op2_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
 }

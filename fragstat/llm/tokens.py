@@ -107,3 +107,10 @@ def ngrams(ids: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.
 def segments(counts: np.ndarray) -> np.ndarray:
     """For each item, the number of its text, given how many items each text has."""
     return np.repeat(np.arange(len(counts)), counts)
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run, one run after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)

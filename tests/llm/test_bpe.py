@@ -1,0 +1,51 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+from tokenizers import Tokenizer
+
+from fragstat.llm.bpe import cut_words, decode, encode
+from fragstat.llm.tokens import flat
+
+ODD = ["", None, " ", "\n", "  two  spaces ", "a\nb", "a\n\nb \n c", "don't we'll 's x", "x<|endoftext|> y", "a <|endoftext|>\nb",
+       "  nbsp x  y", "café été ß", "你好 世界", "\U0001f600 smile \U0001f600", "tab\tx \t y",
+       "\x1c a \x1fb", "1 2 33 4a5", "end ", " start", "  line  ", "a　b c", "word " * 5000, "x" * 3000,
+       "\x85 n \x85", "a\r\nb", "᠎ a ​ b"]
+
+
+def check(spark, bpe_path, texts, docs_of):
+    got = {r.doc_id: r for r in decode(encode(docs_of(texts), bpe_path), bpe_path).collect()}
+    tokenizer = Tokenizer.from_file(bpe_path)
+    for i, text in enumerate(texts):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert got[i].ids == ids, text
+        assert got[i].decoded == tokenizer.decode(ids, skip_special_tokens=False), text
+        assert got[i].text == text
+
+
+def test_odd_texts(spark, bpe_path, docs_of):
+    check(spark, bpe_path, ODD, docs_of)
+
+
+def test_random_texts(spark, bpe_path, docs_of):
+    draw = random.Random(5)
+    signs = list("ab' \n\t.,1") + ["é", "’", " ", " ", "<|endoftext|>", "'s", "\x85", "　", "\U0001f600", "Â"]
+    check(spark, bpe_path, ["".join(draw.choices(signs, k=draw.randint(0, 40))) for _ in range(600)], docs_of)
+
+
+def test_words_cover_the_text():
+    data, offsets = flat(pa.array(["a b\nc", "", " d  e", "f"]))
+    edges, counts = cut_words(data, offsets)
+    words = [bytes(data[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+    assert words == [b"a", b" b", b"\n", b"c", b" d  e", b"f"]
+    assert counts.tolist() == [4, 0, 1, 1]
+    assert np.array_equal(edges[[0, -1]], [0, len(data)])
+
+
+def test_empty_table_and_extra_columns(spark, bpe_path):
+    empty = spark.createDataFrame([], "doc_id long, text string, ids string, chunk int, bucket int")
+    out = decode(encode(empty, bpe_path), bpe_path)
+    assert out.collect() == [] and out.columns == ["doc_id", "text", "chunk", "bucket", "ids", "decoded"]
+    some = spark.createDataFrame([(None, "x y", "old", 7, 8)] * 2, empty.schema)
+    rows = decode(encode(some, bpe_path), bpe_path).collect()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0].decoded == "x y" and rows[0].chunk == 7
