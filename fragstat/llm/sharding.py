@@ -21,6 +21,9 @@ from fragstat.config import scratch_path
 #: Text bytes of a bucket.  A task holds one bucket, about three times.
 BUCKET_BYTES = 32 << 20
 
+#: Up to so many buckets (of 16 bytes each) the table of first places is broadcast.
+MAX_BROADCAST_BUCKETS = 1_000_000
+
 
 def record_size(text) -> "F.Column":
     """UTF-8 bytes of the text (null: none) plus 8."""
@@ -72,7 +75,8 @@ def deal(shuffled: DataFrame, shards: int) -> DataFrame:
     goes to shard ``k mod shards`` as its record ``k div shards``.
 
     Only the record counts of the buckets come to the driver, one number for
-    each ``BUCKET_BYTES`` of input; they go back as a table of first places.
+    each ``BUCKET_BYTES`` of input; they go back as a table of first places,
+    broadcast while that table is small (``MAX_BROADCAST_BUCKETS``).
     """
     spark = shuffled.sparkSession
     counts = sorted((r.bucket, r["count"]) for r in shuffled.groupBy("bucket").count().collect())
@@ -81,6 +85,8 @@ def deal(shuffled: DataFrame, shards: int) -> DataFrame:
         rows.append((bucket, before))
         before += count
     firsts = spark.createDataFrame(rows, "bucket long, _first long")
+    if len(rows) <= MAX_BROADCAST_BUCKETS:
+        firsts = F.broadcast(firsts)
     place = F.col("_first") + F.col("position")
     return shuffled.join(firsts, "bucket").withColumns({
         "shard": F.pmod(place, F.lit(shards)).cast("int"),
