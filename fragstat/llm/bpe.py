@@ -28,6 +28,9 @@ from pyspark.sql import types as T
 from fragstat.llm.packed import bucket_bits, from_payload, pack, squeeze, unsqueeze, with_answers
 from fragstat.llm.tokens import binary, coded, flat, hashes, segments, spread
 
+#: Text bytes of a chunk: its words, ids and pieces take about twenty times that.
+CHUNK_BYTES = 4 << 20
+
 WORD_REQUESTS = "bucket int, chunk long, words binary, sizes binary"
 WORD_ANSWERS = "chunk long, bucket int, ids binary, lengths binary"
 
@@ -75,7 +78,8 @@ def _distinct_words(docs: pa.Table, text_col: str, bits: int):
     edges, counts = cut_words(data, offsets)
     codes, distinct = coded(binary(data, edges))
     buckets = (hashes(distinct) >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(buckets, kind="stable")
+    order = pc.array_sort_indices(distinct).to_numpy().astype(np.int64)  # neighbours in text order pack well
+    order = order[np.argsort(buckets[order], kind="stable")]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     limits = np.searchsorted(buckets[order], np.arange((1 << bits) + 1))
@@ -116,7 +120,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     docs = docs.drop(ids_col)
     bits = bucket_bits(docs.sparkSession)
     # Both sides read this exchange, so texts move once and chunk numbers agree.
-    chunks = pack(docs, text_col).repartition(F.col("chunk"))
+    chunks = pack(docs, text_col, CHUNK_BYTES).repartition(F.col("chunk"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +130,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
                 words, sizes = [], []
                 for b in filled:
                     part, ends = flat(distinct.slice(limits[b], limits[b + 1] - limits[b]))
-                    words.append(zstandard.compress(part.tobytes(), 1))
+                    words.append(zstandard.compress(part.tobytes(), 3))
                     sizes.append(squeeze(np.diff(ends)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(filled.astype(np.int32)), pa.array([chunk.as_py()] * len(filled), pa.int64()),

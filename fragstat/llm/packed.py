@@ -41,7 +41,7 @@ ANSWERS = "chunk long, bucket int, sums binary, distinct long, total long"
 def squeeze(values: np.ndarray) -> bytes:
     """An array as bytes: byte planes, compressed."""
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
-    return zstandard.compress(planes.tobytes(), 1)
+    return zstandard.compress(planes.tobytes(), 3)
 
 
 def unsqueeze(data: bytes, dtype) -> np.ndarray:
@@ -108,8 +108,8 @@ def packed_table(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHU
 
 
 def bucket_bits(spark) -> int:
-    """Log of the number of buckets: four for each shuffle partition or more."""
-    return (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    """Log of the number of buckets: two for each shuffle partition or more."""
+    return (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
 
 
 KeysOf = Callable[[pa.Table], list[tuple[np.ndarray, np.ndarray]]]
