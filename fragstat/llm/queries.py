@@ -10,6 +10,7 @@ import public_tokenizers
 from fragstat.llm.bpe import decode, encode
 from fragstat.llm.exact_dedup import exact_groups
 from fragstat.llm.sharding import record_size, shard_documents
+from fragstat.llm.toxicity import fit, with_scores
 from fragstat.llm.url_filters import judge_urls, rules_frame
 
 
@@ -35,6 +36,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5
+    model = fit(docs, _table(spark, sf_dir, "labels"), remainder != 0)
+    return with_scores(docs, model).select(
+        "doc_id", (remainder == 0).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents")).drop("n_points")
 
@@ -85,6 +95,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
 }

@@ -15,6 +15,10 @@ import xxhash
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: ASCII characters that are neither letters nor digits; letters beyond ASCII are parts of words.
+NO_LETTER = np.zeros(256, dtype=bool)
+NO_LETTER[[b for b in range(128) if not chr(b).isalnum()]] = True
+
 #: A-Z to a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
@@ -44,12 +48,13 @@ def binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
         [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of every text, A-Z lower-cased.
+def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE) -> tuple[pa.Array, np.ndarray]:
+    """The words of every text, the longest runs without ``separators``
+    (default ``[^\\x20\\x09-\\x0D]+``), A-Z lower-cased.
 
     Returns them as one Arrow array in reading order, and how many each text has.
     """
-    keep = ~SPACE[data]
+    keep = ~separators[data]
     begins = keep.copy()
     begins[1:] &= ~keep[:-1]
     firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
