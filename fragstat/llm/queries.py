@@ -9,6 +9,7 @@ import public_tokenizers
 
 from fragstat.llm.bpe import decode, encode
 from fragstat.llm.exact_dedup import exact_groups
+from fragstat.llm.lm_scoring import lm_scores
 from fragstat.llm.sharding import record_size, shard_documents
 from fragstat.llm.toxicity import fit, with_scores
 from fragstat.llm.url_filters import judge_urls, rules_frame
@@ -92,15 +93,54 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
+    return lm_scores(docs, remainder != 2).select(
+        "doc_id", (remainder == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))
+
+# DuckDB has no CRC-32; this is its bit-by-bit definition over the digits of the id.
+_CRC = """xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+OP8_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, {_CRC} % 7 = 2 AS held_out, list_append(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), ' end') AS words
+  FROM documents),
+t AS (SELECT doc_id, held_out, unnest(words) AS w, unnest(list_prepend(' end', words[:-2])) AS v FROM d),
+c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+p AS (SELECT v, w, count(*) AS n FROM t WHERE NOT held_out GROUP BY v, w),
+s AS (SELECT coalesce(sum(c), 0)::DOUBLE AS total, count(*)::DOUBLE AS kinds FROM c),
+x AS (
+  SELECT t.doc_id, t.held_out, coalesce(c.c, 0) AS c, coalesce(h.c, 0) AS h, coalesce(p.n, 0) AS n, s.total, s.kinds,
+    CASE WHEN s.total = 0 THEN 1 ELSE
+      (greatest(coalesce(c.c, 0) - 0.75::DOUBLE, 0) + 0.75::DOUBLE * s.kinds / (s.kinds + 1)) / s.total END AS root
+  FROM t CROSS JOIN s LEFT JOIN c ON t.w = c.w LEFT JOIN c AS h ON t.v = h.w LEFT JOIN p ON t.v = p.v AND t.w = p.w)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE c > 0) AS n_known,
+  any_value(total)::BIGINT AS train_tokens,
+  round(fsum(log10((c + 1) / (total + 1 * (kinds + 1)))), 6) AS base_score,
+  round(fsum(CASE WHEN n > 0 THEN log10((n + 300.0::DOUBLE * root) / (h + 300.0::DOUBLE))
+    ELSE log10(300.0::DOUBLE / (h + 300.0::DOUBLE)) + log10(root) END), 6) AS score
+FROM x GROUP BY doc_id, held_out
+"""
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
+    "op8_lm_scoring": op8_lm_scoring,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": OP5_SQL,
     "op6_url_filters": OP6_SQL,
+    "op8_lm_scoring": OP8_SQL,
 }
