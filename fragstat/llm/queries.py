@@ -10,6 +10,7 @@ import public_tokenizers
 from fragstat.llm.bpe import decode, encode
 from fragstat.llm.exact_dedup import exact_groups
 from fragstat.llm.lm_scoring import lm_scores
+from fragstat.llm.ngram_join import near_duplicates
 from fragstat.llm.sharding import record_size, shard_documents
 from fragstat.llm.toxicity import fit, with_scores
 from fragstat.llm.url_filters import judge_urls, rules_frame
@@ -93,6 +94,31 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  WHERE 100 * k >= 80 * (x.n + y.n - k)),
+l AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
+c AS (SELECT doc_id AS u, doc_id AS r FROM documents UNION SELECT l.v, c.r FROM c JOIN l ON l.u = c.u)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c.r) AS component_id
+FROM d JOIN c ON c.u = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
@@ -136,11 +162,13 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
+    "op7_ngram_join": op7_ngram_join,
     "op8_lm_scoring": op8_lm_scoring,
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": OP5_SQL,
     "op6_url_filters": OP6_SQL,
+    "op7_ngram_join": OP7_SQL,
     "op8_lm_scoring": OP8_SQL,
 }
