@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from fragstat.llm.bpe import decode, encode
+from fragstat.llm.decontamination import find_overlaps
 from fragstat.llm.exact_dedup import exact_groups
 from fragstat.llm.lm_scoring import lm_scores
 from fragstat.llm.ngram_join import near_duplicates
@@ -156,6 +157,16 @@ FROM x GROUP BY doc_id, held_out
 """
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_overlaps(docs, _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", (F.size("overlaps") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct("overlaps.item")).alias("item_ids"),
+        F.size("overlaps").cast("long").alias("n_overlaps"),
+        F.coalesce(F.array_max(F.transform("overlaps", lambda x: x["end"] - x["start"])), F.lit(0)).cast("long")
+        .alias("longest_words"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
@@ -164,6 +175,7 @@ QUERIES = {
     "op6_url_filters": op6_url_filters,
     "op7_ngram_join": op7_ngram_join,
     "op8_lm_scoring": op8_lm_scoring,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL = {
