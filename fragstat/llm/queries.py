@@ -10,6 +10,7 @@ import public_tokenizers
 from fragstat.llm.bpe import decode, encode
 from fragstat.llm.decontamination import find_overlaps
 from fragstat.llm.exact_dedup import exact_groups
+from fragstat.llm.line_dedup import dedup_lines
 from fragstat.llm.lm_scoring import lm_scores
 from fragstat.llm.ngram_join import near_duplicates
 from fragstat.llm.sharding import record_size, shard_documents
@@ -157,6 +158,14 @@ FROM x GROUP BY doc_id, held_out
 """
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed",
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars_kept"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_overlaps(docs, _table(spark, sf_dir, "benchmark")).select(
@@ -175,6 +184,7 @@ QUERIES = {
     "op6_url_filters": op6_url_filters,
     "op7_ngram_join": op7_ngram_join,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
