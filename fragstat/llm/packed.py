@@ -35,7 +35,7 @@ CHUNK_BYTES = 12 << 20
 
 CHUNKS = "chunk long, payload binary"
 REQUESTS = "bucket int, chunk long, keys binary, counts binary"
-ANSWERS = "chunk long, bucket int, sums binary, distinct long, total long"
+ANSWERS = "chunk long, bucket int, sums binary, distinct long, total long, most long"
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -115,29 +115,31 @@ def bucket_bits(spark) -> int:
 KeysOf = Callable[[pa.Table], list[tuple[np.ndarray, np.ndarray]]]
 
 
+def request_rows(chunk: int, key_sets: list[tuple[np.ndarray, np.ndarray]], bits: int, key_bits: int) -> list[pa.Array]:
+    """The columns of a chunk's requests (see :func:`count_requests`)."""
+    shift = np.uint64(key_bits - bits)
+    rows: list[tuple] = []
+    for kind, (keys, counts) in enumerate(key_sets):
+        edges = np.searchsorted(keys >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+        for b in np.flatnonzero(np.diff(edges)):
+            part = slice(edges[b], edges[b + 1])
+            rows.append(((kind << bits) + int(b), chunk, squeeze_sorted(keys[part]),
+                         squeeze(counts[part].astype(np.uint32))))
+    columns = list(zip(*rows)) or [[], [], [], []]
+    return [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
+
+
 def count_requests(chunks: DataFrame, keys_of: KeysOf, bits: int, key_bits: int = 64) -> DataFrame:
     """What each chunk tells each bucket: its distinct keys and their counts.
 
     ``keys_of`` gives a chunk's key sets; each is (sorted distinct keys below
     ``2 ** key_bits``, counts).  Set k has the buckets from ``k << bits`` on.
     """
-    shift = np.uint64(key_bits - bits)
-
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload in zip(batch.column("chunk"), batch.column("payload")):
-                rows: list[tuple] = []
-                for kind, (keys, counts) in enumerate(keys_of(from_payload(payload.as_py()))):
-                    buckets = (keys >> shift).astype(np.int64)
-                    edges = np.searchsorted(buckets, np.arange((1 << bits) + 1))
-                    for b in np.flatnonzero(np.diff(edges)):
-                        part = slice(edges[b], edges[b + 1])
-                        rows.append(((kind << bits) + int(b), chunk.as_py(), squeeze_sorted(keys[part]),
-                                     squeeze(counts[part].astype(np.uint32))))
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                        ["bucket", "chunk", "keys", "counts"])
+                rows = request_rows(chunk.as_py(), keys_of(from_payload(payload.as_py())), bits, key_bits)
+                yield pa.RecordBatch.from_arrays(rows, ["bucket", "chunk", "keys", "counts"])
     return chunks.mapInArrow(ask, REQUESTS)
 
 
@@ -153,12 +155,13 @@ def _add_up(group: pa.Table) -> pa.Table:
     return pa.table({
         "chunk": group.column("chunk"), "bucket": group.column("bucket"), "sums": pa.array(answers, pa.binary()),
         "distinct": pa.array(np.where(first, np.count_nonzero(sums), 0), pa.int64()),
-        "total": pa.array(np.where(first, sums.sum(), 0), pa.int64())})
+        "total": pa.array(np.where(first, sums.sum(), 0), pa.int64()),
+        "most": pa.array(np.where(first, sums.max(), 0), pa.int64())})
 
 
 def add_up(requests: DataFrame) -> DataFrame:
     """The sums of all chunks' counts, for each key of each request; and, once
-    for each bucket, how many keys have a positive sum and the sum of all."""
+    for each bucket, how many keys have a positive sum, the sum of all and the largest."""
     return requests.groupBy("bucket").applyInArrow(_add_up, ANSWERS)
 
 

@@ -14,6 +14,7 @@ from fragstat.llm.line_dedup import dedup_lines
 from fragstat.llm.lm_scoring import lm_scores
 from fragstat.llm.ngram_join import near_duplicates
 from fragstat.llm.sharding import record_size, shard_documents
+from fragstat.llm.suffix_dedup import repeated_spans
 from fragstat.llm.toxicity import fit, with_scores
 from fragstat.llm.url_filters import judge_urls, rules_frame
 
@@ -49,6 +50,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents")).drop("n_points")
 
@@ -180,6 +187,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_ngram_join": op7_ngram_join,
