@@ -206,4 +206,5 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any overlap, all columns as they are."""
-    return find_overlaps(docs, benchmark, text_col, out="_overlaps").where(F.size("_overlaps") == 0).drop("_overlaps")
+    return find_overlaps(docs, benchmark, text_col, out="__overlaps").where(
+        F.size("__overlaps") == 0).drop("__overlaps")

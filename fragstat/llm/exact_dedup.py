@@ -86,10 +86,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay, with all their columns: one per group of
     equal texts (see :func:`exact_groups`), fully repeated rows once."""
     kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(
-        F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_points"))
+        F.col(id_col).alias("__keep"), F.col("text_sha256").alias("__sha"), F.col("n_points").alias("__points"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.withColumns({
-        "_row_sha": F.sha2(F.translate(text, BLANKS, ""), 256), "_row_points": F.length(text)})
-    same = (F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_row_sha") == F.col("_sha"))
-            & (F.col("_row_points") == F.col("_points")))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_row_sha"]).drop("_row_sha", "_row_points")
+        "__row_sha": F.sha2(F.translate(text, BLANKS, ""), 256), "__row_points": F.length(text)})
+    same = (F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__row_sha") == F.col("__sha"))
+            & (F.col("__row_points") == F.col("__points")))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "__row_sha"]).drop("__row_sha", "__row_points")

@@ -226,13 +226,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     the row with the smallest id stays (a null id comes last; of rows with one
     id and text, any one).  Texts without words link with nothing and stay."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("_key", F.struct(
+    keyed = docs.withColumn("__near_key", F.struct(
         F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
         F.sha2(text, 256).alias("text")))
-    groups = near_duplicates(keyed.select("_key", F.col(text_col).alias("_words")), "_key", "_words", width, percent)
-    kept = groups.where((F.col("n_shingles") > 0) & (F.col("_key") == F.col("component_id"))).select("_key").distinct()
+    groups = near_duplicates(keyed.select("__near_key", F.col(text_col).alias("__near_text")), "__near_key", "__near_text", width, percent)
+    kept = groups.where((F.col("n_shingles") > 0) & (F.col("__near_key") == F.col("component_id"))).select("__near_key").distinct()
     wordy = text.rlike(r"[^\x20\x09-\x0D]")
     return (
-        keyed.where(wordy).join(kept, "_key", "left_semi").dropDuplicates(["_key"])
-        .unionByName(keyed.where(~wordy)).drop("_key")
+        keyed.where(wordy).join(kept, "__near_key", "left_semi").dropDuplicates(["__near_key"])
+        .unionByName(keyed.where(~wordy)).drop("__near_key")
     )

@@ -49,25 +49,29 @@ def shuffle_into_buckets(docs: DataFrame, path: str, seed: int = 42, text_col: s
     The bucket of a record hashes all its columns, so a group of copies, a hot
     source or a repeated id is spread like any other records.  Records that
     agree in every column are told apart by the input partition they come
-    from.  Columns named ``bucket`` or ``position`` are replaced.  An empty
+    from.  Columns named ``bucket`` or ``position``
+    are replaced (by ``deal``: ``shard`` and ``slot`` too).  An empty
     table gives an empty one.  Null and empty texts are records like others;
     a record larger than a bucket has a bucket that is larger by that much.
     """
     spark = docs.sparkSession
     docs = docs.drop("bucket", "position")
+    names = docs.columns
+    # Positions, not names, inside: extra columns may be called anything.
+    inner = docs.toDF(*(f"c{k}" for k in range(len(names))))
     total = docs.agg(F.sum(record_size(F.col(text_col)))).first()[0] or 0
     buckets = max(min_buckets, -(-total // bucket_bytes))
-    content = [F.col(f"`{c}`") for c in docs.columns]
-    scattered = docs.withColumns({
+    scattered = inner.withColumns({
         "_part": F.spark_partition_id().cast("long"),
-        "_draw": F.xxhash64(F.lit(seed), *content),
-        "_tie": F.xxhash64(F.lit(~seed), *content),
+        "_draw": F.xxhash64(F.lit(seed), *inner.columns),
+        "_tie": F.xxhash64(F.lit(~seed), *inner.columns),
     }).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "_draw", "_tie", "_part"), F.lit(buckets)))
     schema = T.StructType([f for f in scattered.schema if f.name not in ("_draw", "_tie", "_part")])
     schema = schema.add("position", T.LongType())
     shuffled = scattered.groupBy("bucket").applyInArrow(_shuffle_bucket(seed), schema)
-    shuffled.write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    shuffled.toDF(*names, "bucket", "position").write.mode("overwrite").parquet(path)
+    return spark.read.schema(T.StructType(list(docs.schema)).add("bucket", T.LongType()).add(
+        "position", T.LongType())).parquet(path)
 
 
 def deal(shuffled: DataFrame, shards: int) -> DataFrame:
@@ -79,19 +83,20 @@ def deal(shuffled: DataFrame, shards: int) -> DataFrame:
     broadcast while that table is small (``MAX_BROADCAST_BUCKETS``).
     """
     spark = shuffled.sparkSession
+    shuffled = shuffled.drop("shard", "slot")
     counts = sorted((r.bucket, r["count"]) for r in shuffled.groupBy("bucket").count().collect())
     before, rows = 0, []
     for bucket, count in counts:
         rows.append((bucket, before))
         before += count
-    firsts = spark.createDataFrame(rows, "bucket long, _first long")
+    firsts = spark.createDataFrame(rows, "bucket long, __first long")
     if len(rows) <= MAX_BROADCAST_BUCKETS:
         firsts = F.broadcast(firsts)
-    place = F.col("_first") + F.col("position")
+    place = F.col("__first") + F.col("position")
     return shuffled.join(firsts, "bucket").withColumns({
         "shard": F.pmod(place, F.lit(shards)).cast("int"),
-        "slot": F.expr(f"(_first + position) div {int(shards)}"),
-    }).drop("_first")
+        "slot": F.expr(f"(__first + position) div {int(shards)}"),
+    }).drop("__first")
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 42, path: str | None = None,
