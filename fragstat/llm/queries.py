@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
+from fragstat.config import checkpoint_root
 from fragstat.llm.bpe import decode, encode
 from fragstat.llm.decontamination import find_overlaps
 from fragstat.llm.exact_dedup import exact_groups
@@ -14,12 +15,15 @@ from fragstat.llm.line_dedup import dedup_lines
 from fragstat.llm.lm_scoring import lm_scores
 from fragstat.llm.ngram_join import near_duplicates
 from fragstat.llm.sharding import record_size, shard_documents
+from fragstat.llm.shipping import ship
 from fragstat.llm.suffix_dedup import repeated_spans
 from fragstat.llm.toxicity import fit, with_scores
 from fragstat.llm.url_filters import judge_urls, rules_frame
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    checkpoint_root(spark)
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
