@@ -122,7 +122,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
         found.append(hashed[at[own] - lo])
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, _U)
-    return np.concatenate(places), np.concatenate(found)
+    # The smallest of many hashes are all small: scrambled, they deal out evenly.
+    return np.concatenate(places), mixed(np.concatenate(found) + _U(1))
 
 
 def _surroundings(offsets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
