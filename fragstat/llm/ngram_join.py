@@ -8,25 +8,24 @@ shingle of their *prefixes*, the first ``n - ceil(t n) + 1`` of n shingles.
 2. Documents with the same prefix and set size collapse into one *group*; a
    group is listed under those of its prefix shingles that other documents
    have as well.  Documents with a prefix of their own have no partner.
-3. Under each shingle the groups are ordered by size and neighbours are
-   paired, filtered by size and position, and verified on the whole sets of
-   their members: enough to connect a group of near copies, however large,
-   by as many pairs as it has members.
-4. What is left is exact and small: wherever groups of different components
-   still meet under one shingle, they are expanded to their members, and all
-   pairs across components that pass the filters are verified too.
-
-So no link is lost, and the pairs of a dense group are never listed.
+3. Groups under a common shingle are candidates of each other.  They are
+   expanded to their members and gathered into *units*: a connected set of
+   candidates, or, where such a set is too large for a task, what lies under
+   one shingle, in pairs of blocks if that is too large as well.
+4. In a unit, an inverted index over the whole sets counts what members have
+   in common; pairs that may link and are not connected yet are verified, and
+   only the links that connect are returned, never the pairs.
+
+So no link between components is lost, a task holds ``UNIT`` sets or two
+blocks of that many, and each unit returns fewer links than it has members.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,10 +33,12 @@ from fragstat.config import scratch_path
 from fragstat.llm.components import connected_components
 from fragstat.llm.packed import (
     add_up, bucket_bits, count_requests, distinct_counts, packed_table, squeeze_sorted, told, unsqueeze_sorted, with_answers)
-from fragstat.llm.tokens import coded, flat, hashes, ngrams, words
+from fragstat.llm.tokens import coded, flat, hashes, ngrams, spread, words
 
 #: Words of a shingle, and similarity in hundredths.
 WORDS, PERCENT = 5, 80
+#: Members that a task compares with each other.
+UNIT = 4096
 #: Text bytes of a chunk.
 CHUNK_BYTES = 6 << 20
 #: Bits of a shingle's hash that its document frequency is counted by.
@@ -57,21 +58,10 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _enough(common: Column, n: Column, m: Column, percent: int) -> Column:
-    return 100 * common >= percent * (n + m - common)
-
-
-def _may_link(left: str, right: str, percent: int) -> Column:
-    """Size and position filters on two listings of the same shingle."""
-    n, m = F.col(f"{left}.size"), F.col(f"{right}.size")
-    p, q = F.col(f"{left}.place"), F.col(f"{right}.place")
-    return _enough(F.least(p, q) + 1 + F.least(n - p, m - q) - 1, n, m, percent)
-
-
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """A row per document: ``id, size, member`` (digest of its set), ``listed``
-    and, once for each member and chunk, ``grp`` with ``tokens`` and
-    ``places`` (prefix shingles that other documents have) and the set itself.
+    """A row per document: ``id, size, member`` (digest of its set) and,
+    once for each member and chunk, ``grp`` with ``tokens`` (the prefix shingles
+    that other documents have) and ``keys`` (the set itself).
     """
     spark = docs.sparkSession
     bits = bucket_bits(spark)
@@ -92,73 +82,109 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
             often = frequency[begin:begin + size]
             begin += size
             if not size:
-                rows.append((0, None, None, None, None, None))
+                rows.append((0, None, None, None, None))
                 continue
             member = xxhash.xxh3_128_digest(shingles.tobytes())
             if member in seen:
-                rows.append((size, member, None, None, None, None))
+                rows.append((size, member, None, None, None))
                 continue
             seen.add(member)
             first = np.lexsort((shingles, often))[:prefix_length(size, percent)]
             shared = np.flatnonzero(often[first] > 1)
             if not len(shared):
-                rows.append((size, member, None, None, None, None))
+                rows.append((size, member, None, None, None))
                 continue
             prefix = shingles[first]
-            rows.append((size, member, xxhash.xxh3_64_intdigest(prefix.tobytes(), size) >> 1,
-                         prefix[shared].view(np.int64), shared, squeeze_sorted(shingles)))
-        size, member, group, tokens, places, keys = zip(*rows)
+            rows.append((size, member, xxhash.xxh3_128_digest(prefix.tobytes(), size),
+                         prefix[shared].view(np.int64), squeeze_sorted(shingles)))
+        size, member, group, tokens, keys = zip(*rows)
         return pa.table({
             "id": texts.column("_id"), "size": pa.array(size, pa.int32()), "member": pa.array(member, pa.binary()),
-            "grp": pa.array(group, pa.int64()), "tokens": pa.array(tokens, pa.list_(pa.int64())),
-            "places": pa.array(places, pa.list_(pa.int32())), "keys": pa.array(keys, pa.binary())})
+            "grp": pa.array(group, pa.binary()), "tokens": pa.array(tokens, pa.list_(pa.int64())),
+            "keys": pa.array(keys, pa.binary())})
 
     schema = (T.StructType().add("id", docs.schema["_id"].dataType).add("size", T.IntegerType())
-              .add("member", T.BinaryType()).add("grp", T.LongType()).add("tokens", T.ArrayType(T.LongType()))
-              .add("places", T.ArrayType(T.IntegerType())).add("keys", T.BinaryType()))
+              .add("member", T.BinaryType()).add("grp", T.BinaryType()).add("tokens", T.ArrayType(T.LongType()))
+              .add("keys", T.BinaryType()))
     answers = add_up(count_requests(chunks, keys_of, bits, KEY_BITS))
     path = scratch_path(spark, "profiles")
     with_answers(chunks, answers, profile, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def _neighbours(listings: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``g, h``) of groups that are next to each other, by size, under a
-    shingle.  Range partitions split a shingle that very many groups have."""
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            token, size, group, place = (batch.column(c).to_numpy(zero_copy_only=False)
-                                         for c in ("token", "size", "grp", "place"))
-            if last is not None:
-                token, size, group, place = (np.concatenate((x, y)) for x, y in zip(last, (token, size, group, place)))
-            last = token[-1:], size[-1:], group[-1:], place[-1:]
-            n, m, p, q = size[:-1].astype(np.int64), size[1:].astype(np.int64), place[:-1], place[1:]
-            common = np.minimum(p, q) + 1 + np.minimum(n - p, m - q) - 1
-            some = (token[1:] == token[:-1]) & (group[1:] != group[:-1]) & (100 * common >= percent * (n + m - common))
-            found = np.unique(np.stack([group[:-1][some], group[1:][some]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["g", "h"])
-    ordered = listings.repartitionByRange("token", "size", "grp").sortWithinPartitions("token", "size", "grp")
-    return ordered.mapInArrow(pair, "g long, h long").distinct()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (``a, b``) of members whose sets are similar enough."""
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = unsqueeze_sorted(x), unsqueeze_sorted(y)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-    first = sets.select(F.col("member").alias("a"), F.col("keys").alias("x"))
-    second = sets.select(F.col("member").alias("b"), F.col("keys").alias("y"))
-    return pairs.join(first, "a").join(second, "b").mapInArrow(verify, "a binary, b binary")
+def connected_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the number of the first one that it is connected with by
+    links (pairs of sets that are similar enough)."""
+    n = len(sets)
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, tokens, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
+    by_token = np.argsort(tokens, kind="stable")
+    posting, first = owner[by_token], np.cumsum(often) - often
+    ends = np.cumsum(sizes)
+    for i in range(n):
+        mine = tokens[ends[i] - sizes[i]:ends[i]]
+        order = np.lexsort((mine, often[mine]))  # rarest in the unit first
+        prefix = mine[order[:prefix_length(int(sizes[i]), percent)]]
+        prefix = prefix[often[prefix] > 1]
+        near = np.unique(posting[spread(first[prefix], often[prefix])])
+        own = find(i)
+        if all(find(j) == own for j in near.tolist()):
+            continue
+        common = np.bincount(posting[spread(first[mine], often[mine])], minlength=n)[near]
+        for j in near[100 * common >= percent * (sizes[i] + sizes[near] - common)].tolist():
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    return np.array([find(i) for i in range(n)], np.int64)
+
+
+def _units(rows: DataFrame, unit: int) -> tuple[DataFrame, bool]:
+    """``unit, i, j, member``: which members are compared with each other, and
+    whether some unit has been split.  ``rows`` are (token, member)."""
+    tokens = rows.groupBy("token").agg(F.min("member").alias("lead"), F.max("member").alias("last"))
+    shared = rows.join(tokens.where("lead != last").select("token", "lead"), "token").checkpoint()
+    parts = connected_components(shared.select("member", "lead").distinct(), "member", "lead").checkpoint()
+    sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    sized = parts.join(sizes, "root").withColumnRenamed("node", "member")
+    whole = sized.where(F.col("n") <= unit).select(F.col("root").alias("unit"), "member", F.lit(1).alias("blocks"))
+    large = sized.where(F.col("n") > unit).select("member")
+    if not large.limit(1).count():
+        return whole.select("unit", F.lit(0).alias("i"), F.lit(0).alias("j"), "member"), False
+    split = shared.join(large, "member").select("token", "member")
+    counts = split.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    split = split.join(counts, "token").select(
+        F.col("token").cast("string").cast("binary").alias("unit"), "member",
+        F.ceil(F.col("n") / unit).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
+    paired = (
+        whole.unionByName(split).withColumn("b", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("unit", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "member")
+    )
+    return paired, True
+
+
+def _connected(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, root`` links that connect the members of each unit."""
+    def connect(unit: pa.Table) -> pa.Table:
+        unit = unit.sort_by("member")
+        first = connected_sets([unsqueeze_sorted(k) for k in unit.column("keys").to_pylist()], percent)
+        some = np.flatnonzero(first != np.arange(len(first)))
+        member = unit.column("member")
+        return pa.table({"node": member.take(pa.array(some)), "root": member.take(pa.array(first[some]))})
+    return units.join(sets, "member").groupBy("unit", "i", "j").applyInArrow(connect, "node binary, root binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, unit: int = UNIT) -> DataFrame:
     """``id_col, n_shingles, component_id`` for every row.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; a text of fewer than
@@ -172,41 +198,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     profiles = _profiles(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), width, percent)
     listed = profiles.where(F.col("grp").isNotNull())
-    members = listed.groupBy("grp", "member").agg(F.first("size").alias("size"))
+    members = listed.select("grp", "member").distinct()
     sets = listed.groupBy("member").agg(F.first("keys").alias("keys"))
-    listings = (
-        listed.groupBy("grp").agg(F.first(F.struct("size", "tokens", "places")).alias("one"))
-        .select("grp", "one.size", F.explode(F.arrays_zip("one.tokens", "one.places")).alias("at"))
-        .select(F.col("at.tokens").alias("token"), "size", "grp", F.col("at.places").alias("place"))
-    ).checkpoint()
-
-    # Neighbouring groups, by one member each.
-    heads = members.groupBy("grp").agg(F.min("member").alias("head"))
-    pairs = (
-        _neighbours(listings, percent)
-        .join(heads.select(F.col("grp").alias("g"), F.col("head").alias("a")), "g")
-        .join(heads.select(F.col("grp").alias("h"), F.col("head").alias("b")), "h")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    links = _verified(pairs, sets, percent).checkpoint()
-    parts = connected_components(links).checkpoint()
-
-    # All members of shingles under which components still meet.
-    expanded = (
-        listings.join(members.select("grp", "member"), "grp")
-        .join(parts.withColumnRenamed("node", "member"), "member", "left")
-        .select("token", "member", "size", "place", F.coalesce("root", "member").alias("part"))
-    ).checkpoint()
-    mixed = expanded.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo != hi")
-    left = expanded.join(mixed.select("token"), "token", "left_semi")
-    rest = (
-        left.alias("l").join(left.alias("r"), "token")
-        .where((F.col("l.member") < F.col("r.member")) & (F.col("l.part") != F.col("r.part")) & _may_link("l", "r", percent))
-        .select(F.col("l.member").alias("a"), F.col("r.member").alias("b")).distinct()
-    )
-    more = _verified(rest, sets, percent).checkpoint()
-    if more.limit(1).count():
-        parts = connected_components(links.unionByName(more)).checkpoint()
+    listings = listed.groupBy("grp").agg(F.first("tokens").alias("tokens")).select(
+        "grp", F.explode("tokens").alias("token"))
+    units, split = _units(listings.join(members, "grp").select("token", "member"), unit)
+    links = _connected(units, sets, percent).checkpoint()
+    if split:
+        parts = connected_components(links, "node", "root")
+    else:  # units have no member in common, so their links are stars already
+        parts = links.unionByName(links.select(F.col("root").alias("node"), "root").distinct())
 
     roots = profiles.where(F.col("member").isNotNull()).groupBy("member").agg(F.min("id").alias("least")).join(
         parts.withColumnRenamed("node", "member"), "member", "left").select(

@@ -42,6 +42,13 @@ def test_against_brute_force(docs_of):
         assert got == brute(texts), seed
 
 
+def test_units_that_are_split(docs_of):
+    for unit in (1, 3, 10):
+        texts = corpus(7, 90)
+        got = sorted(map(tuple, near_duplicates(docs_of(texts), unit=unit).collect()))
+        assert got == brute(texts), unit
+
+
 def test_chain_of_links_and_dense_group(docs_of):
     draw = random.Random(8)
     words = [f"w{i}" for i in range(60)]
