@@ -47,6 +47,9 @@ def test_packed_counts_are_the_corpus_counts(spark, docs_of):
     assert chunks.count() > 10
     bits = bucket_bits(spark)
 
+    def hash_of(word):
+        return int.from_bytes(word.ljust(8, b"\x00"), "big") * 0x9E3779B97F4A7C15 % 2**64
+
     def keys_of(table):
         tokens, _ = words(*flat(table.column("text")))
         keys = np.array([hash_of(t) for t in tokens.to_pylist()], np.uint64)
@@ -67,10 +70,6 @@ def test_packed_counts_are_the_corpus_counts(spark, docs_of):
     assert sorted(d for p in chunks.collect() for d in from_payload(p.payload).column("doc_id").to_pylist()) == list(range(200))
 
 
-def hash_of(word):
-    return int.from_bytes(word.ljust(8, b"\x00"), "big") * 0x9E3779B97F4A7C15 % 2**64
-
-
 def test_words_and_ngrams_follow_text_borders():
     texts = pa.array(["A b", "", None, "\x0bÉc \td\x1ce", "f g"])
     tokens, counts = words(*flat(texts))
