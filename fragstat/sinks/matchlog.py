@@ -1,51 +1,44 @@
-"""Write events as a match-log folder: ``*_<kind>.csv`` files with a header.
+"""Write events as a folder of match-log files: CSV with a header.
 
 The inverse of :func:`fragstat.sources.files.read_match_logs`: Spark's CSV
 writer produces the files in parallel (one or more per task, so no match
-has to fit one task), then the part files are renamed to carry the
-``_<kind>.csv`` suffix the folder source selects on.  Renaming touches file
-metadata only, one call per file.
+has to fit one task).  One folder holds one kind of file, under the names
+that the writer gives; read it with ``glob="*.csv"``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.decode import ENCODE_OPTIONS
 from ..schemas import REPLAY_TIME_COLUMN
 
+WRITTEN_FILES = "*.csv"
 
-def write_match_logs(
-    df: DataFrame,
-    folder: str,
-    kind: str,
-    max_records_per_file: int | None = None,
-    add_to_folder: bool = False,
-) -> int:
-    """Write ``df`` (event columns in schema order) as match-log files of
-    ``kind`` into ``folder`` (a new folder unless ``add_to_folder``); returns
-    the number of files written.  The replay time column is left out, as
-    match-log files do not hold it."""
+
+def _one_line(df: DataFrame) -> DataFrame:
+    """Fail on texts with line breaks: the readers take a line for a row."""
+    checked = {
+        f.name: F.when(
+            F.col(f"`{f.name}`").rlike(r"[\r\n]"),
+            F.raise_error(F.lit(f"line break in column {f.name}: match-log files hold one row per line")).cast("string"),
+        ).otherwise(F.col(f"`{f.name}`"))
+        for f in df.schema.fields if isinstance(f.dataType, StringType)
+    }
+    return df.withColumns(checked) if checked else df
+
+
+def write_match_logs(df: DataFrame, folder: str, max_records_per_file: int | None = None) -> None:
+    """Write ``df`` (event columns in schema order) as match-log files into
+    the new folder ``folder``.  The replay time column is left out, as
+    match-log files do not hold it.  A text with a line break fails the job:
+    the line-based readers would take it for two damaged rows."""
     cols = [c for c in df.columns if c != REPLAY_TIME_COLUMN]
-    mode = "append" if add_to_folder else "errorifexists"
-    writer = df.select(*cols).write.mode(mode).option("header", True)
+    writer = _one_line(df.select(*cols)).write.mode("errorifexists").option("header", True)
     for key, value in ENCODE_OPTIONS.items():
         writer = writer.option(key, value)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(folder)
-
-    spark = df.sparkSession
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    renamed = 0
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        # fresh part files only: renamed ones already carry a ``_<kind>`` suffix
-        if name.startswith("part-") and name.endswith(".csv") and "_" not in name:
-            target = jvm.org.apache.hadoop.fs.Path(folder, f"{name[:-4]}_{kind}.csv")
-            if not fs.rename(status.getPath(), target):
-                raise OSError(f"could not rename {name} in {folder}")
-            renamed += 1
-    return renamed

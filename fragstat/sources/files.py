@@ -21,6 +21,9 @@ from ..operators.replay import route_topic, with_elapsed_seconds
 from ..schemas import EVENT_SCHEMAS, file_schema
 
 LINE_SCHEMA = StructType([StructField("line", StringType(), True)])
+# With this field the CSV reader keeps the whole text of a line that it would cut.
+RAW_LINE = "_raw"
+RAW_LINE_SCHEMA = StructType([*LINE_SCHEMA.fields, StructField(RAW_LINE, StringType(), True)])
 
 
 def name_glob(kind: str) -> str:
@@ -35,13 +38,17 @@ def read_match_logs(
     ms_per_tick: float = DEFAULT_MS_PER_TICK,
     max_files_per_trigger: int | None = None,
     with_source: bool = True,
+    glob: str | None = None,
+    topic: str | None = None,
 ) -> DataFrame:
-    """Events of one kind from every ``*_<kind>.csv`` file in ``folder``.
+    """Events of one kind from every ``*_<kind>.csv`` file in ``folder``, or
+    from the files that ``glob`` names.
 
     The header line of each file is skipped; ``timestamp_seconds`` (not in
     the files) is added from the tick on the replay clock, ``damage_dealt``
     for damages.  With ``with_source`` the rows carry ``file_name`` and the
-    ``topic`` the file routes to.  Malformed fields become NULL (PERMISSIVE).
+    ``topic`` the file routes to (or the given ``topic``, for files whose
+    names do not tell, such as those of Spark's own writers).  Malformed fields become NULL (PERMISSIVE).
     """
     schema = EVENT_SCHEMAS[kind]
     reader = spark.readStream if streaming else spark.read
@@ -49,14 +56,15 @@ def read_match_logs(
         reader.schema(file_schema(schema))
         .option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", name_glob(kind))
+        .option("pathGlobFilter", glob or name_glob(kind))
     )
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(folder)
     events = with_elapsed_seconds(df, "tick", ms_per_tick)
     if with_source:
-        events = route_topic(events.withColumn("file_name", F.col("_metadata.file_name")))
+        events = events.withColumn("file_name", F.col("_metadata.file_name"))
+        events = events.withColumn("topic", F.lit(topic)) if topic else route_topic(events)
     if kind == "damages":
         events = with_damage_dealt(events)
     return events
@@ -67,12 +75,15 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None, with_fil
 
     Uses the CSV reader with quoting off and an unused separator, so every
     line is one string field and the header is dropped per file.  Empty and
-    header-only files give no rows; blank lines are skipped.  Row order
-    across splits is not promised.  A line containing the separator
-    character U+0001 is cut there (log lines do not contain it).
+    header-only files give no rows.  Row order across splits is not promised.
+    A line that holds the separator character U+0001 is a corrupt record to
+    the CSV reader, which hands it over whole.  A known difference from a
+    plain line reader: lines of nothing but blanks and control characters give no row, as the
+    CSV reader skips them.
     """
     reader = (
-        spark.read.schema(LINE_SCHEMA)
+        spark.read.schema(RAW_LINE_SCHEMA)
+        .option("columnNameOfCorruptRecord", RAW_LINE)
         .option("header", True)
         .option("sep", "\u0001")
         .option("quote", "")
@@ -80,16 +91,15 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None, with_fil
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path)
-    if with_file:
-        df = df.withColumn("file_name", F.col("_metadata.file_name"))
-    return df
+    source = [F.col("_metadata.file_name").alias("file_name")] if with_file else []
+    return df.select(F.coalesce(RAW_LINE, "line").alias("line"), *source)
 
 
-def read_roster(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of the ``*_players.csv`` roster file(s) in ``folder`` with the
-    file name; empty (not an error) when the folder or the file is missing."""
+def read_roster(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """Lines of the ``*_players.csv`` roster file(s) in ``folder`` (or of the
+    files that ``glob`` names) with the file name; empty (not an error) when the folder or the file is missing."""
     try:
-        return read_lines(spark, folder, glob=name_glob("players"), with_file=True)
+        return read_lines(spark, folder, glob=glob or name_glob("players"), with_file=True)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err) and "does not exist" not in str(err):
             raise

@@ -3,7 +3,7 @@ import os
 import pytest
 from conftest import sorted_rows
 from fragstat.operators.kill_stats import player_kill_stats
-from fragstat.sinks.matchlog import write_match_logs
+from fragstat.sinks.matchlog import WRITTEN_FILES, write_match_logs
 from fragstat.sources.files import read_lines, read_match_logs, read_roster
 
 KILL_HEADER = "frame,tick,round,killer_name,killer_steamid,victim_name,victim_steamid"
@@ -71,8 +71,24 @@ def test_write_then_read_match_logs(spark, make_kills, tmp_path):
     src = make_kills([dict(frame=i, tick=i * 100, round=1, killer_steamid=i % 3, killer_name=f"p,{i}",
                            victim_steamid=7, timestamp_seconds=(i * 100 * 7) // 1000) for i in range(50)])
     folder = str(tmp_path / "out")
-    files = write_match_logs(src.repartition(3), folder, "kills")
-    assert files == 3
-    assert all(n.endswith("_kills.csv") for n in os.listdir(folder) if n.startswith("part-"))
-    back = read_match_logs(spark, folder, "kills", with_source=False)
+    write_match_logs(src.repartition(3), folder)
+    assert len([n for n in os.listdir(folder) if n.startswith("part-")]) == 3
+    back = read_match_logs(spark, folder, "kills", with_source=False, glob=WRITTEN_FILES)
     assert sorted_rows(back) == sorted_rows(src)
+
+
+def test_raw_lines_are_whole(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    lines = ["1,2,3", "a\u0001b\u0001c", '"q,u"o"te', " spaced ", "x" * 5000]
+    (folder / "m_kills.csv").write_text("\n".join(["header", *lines]) + "\n")
+    assert sorted(r.line for r in read_lines(spark, str(folder)).collect()) == sorted(lines)
+
+
+@pytest.mark.parametrize("name", ["a\nb", "a\rb", "\r\n"])
+def test_line_breaks_are_refused(spark, make_kills, tmp_path, name):
+    from pyspark.errors import PySparkException
+
+    rows = make_kills([dict(frame=1, tick=1, killer_name="fine"), dict(frame=2, tick=2, killer_name=name)])
+    with pytest.raises(PySparkException, match="line break"):
+        write_match_logs(rows, str(tmp_path / "out"))
