@@ -88,10 +88,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     a private folder is made and registered, so ``DataFrame.checkpoint()``
     and everything else here use the same place.
     """
+    # (raises on a cluster without the setting)
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set and the master is {master}: executors would write to their own disks. "
+                "Name a folder that the driver and all executors share.")
         root = tempfile.mkdtemp(prefix="fragstat-checkpoint-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

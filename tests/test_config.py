@@ -14,6 +14,8 @@ class _Conf:
 
 
 class _Context:
+    master = "local[2]"
+
     def __init__(self, checkpoint_dir=None):
         self.dir = checkpoint_dir
         self.set_to = None
@@ -59,3 +61,14 @@ def test_shuffle_partitions_only_for_known_cores():
     assert session_settings(4)["spark.sql.shuffle.partitions"] == "8"
     assert local_cores("local[3]") == 3 and local_cores("local") == 1
     assert local_cores("spark://host:7077") is None
+
+
+def test_no_private_folder_on_a_cluster():
+    import pytest
+
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        ctx = _Context()
+        ctx.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(_Session({}, ctx))
+        assert ctx.set_to is None
