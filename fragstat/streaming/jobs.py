@@ -10,8 +10,10 @@ With the partition-overwrite table sink a re-run batch replaces its output.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -87,8 +89,14 @@ def run_match_stats(
     trigger: dict | None = None,
     wait: bool = True,
 ) -> list[StreamingQuery]:
-    """Both statistics queries side by side; with ``wait`` block until the
-    first one ends (an error in either surfaces here)."""
+    """Both statistics queries side by side.
+
+    With ``wait`` and a finite trigger (``availableNow``, ``once``) this
+    returns when both have worked off their input; without one the queries
+    run on until one of them is stopped or fails, and the other is stopped
+    then.  An error in either surfaces here, after the other has ended.
+    """
+    spark.streams.resetTerminated()  # queries that ended earlier in this session do not count
     queries = [
         start_kill_stats(kills, kills_sink, checkpoint_for(spark, "kills", checkpoint_location),
                          trigger=trigger, name="player_stats"),
@@ -96,5 +104,24 @@ def run_match_stats(
                            trigger=trigger, name="player_damage_stats"),
     ]
     if wait:
-        spark.streams.awaitAnyTermination()
+        _wait(spark, queries, finite=bool(trigger) and not trigger.keys() & {"processingTime", "continuous"})
     return queries
+
+
+def _wait(spark: SparkSession, queries: list[StreamingQuery], finite: bool) -> None:
+    if not finite:
+        # Other queries of the session may end as well: go on until one of ours has.
+        while all(q.isActive for q in queries):
+            with contextlib.suppress(StreamingQueryException):
+                spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for query in queries:
+            query.stop()
+    errors = []
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            errors.append(error)
+    if errors:
+        raise errors[0]
