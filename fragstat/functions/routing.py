@@ -38,8 +38,11 @@ def elapsed_seconds(tick: str | Column = "tick", ms_per_tick: float = DEFAULT_MS
     """
     t = _c(tick).cast("long")
     if float(ms_per_tick).is_integer():
-        # exact integer arithmetic (ticks are never negative)
-        return F.floor((t * int(ms_per_tick)) / 1000).cast("long")
+        # Exact integer arithmetic: what is left after pmod is a multiple of
+        # 1000, so this floors negative ticks too.
+        ms = t * F.lit(int(ms_per_tick)).cast("long")
+        whole = ms - F.pmod(ms, F.lit(1000).cast("long"))
+        return F.call_function("div", whole, F.lit(1000).cast("long"))
     return F.floor(t * float(ms_per_tick) / 1000).cast("long")
 
 
@@ -47,4 +50,4 @@ def raw_field(line: str | Column, index: int = 1, dtype: str = "int") -> Column:
     """Field ``index`` (0-based) of a raw line split on ``,``, without CSV
     quoting rules; NULL when the line is too short or the value does not
     parse (``get`` / ``try_cast`` never raise under ANSI)."""
-    return F.get(F.split(_c(line), ","), index).try_cast(dtype)
+    return F.get(F.split(_c(line), ",", index + 2), index).try_cast(dtype)

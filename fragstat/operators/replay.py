@@ -40,6 +40,7 @@ def replay_order(
     keys: Sequence[str] = REPLAY_ORDER,
     by: Sequence[str] = (),
     num_partitions: int | None = None,
+    rows_per_partition: int = 2_000_000,
 ) -> DataFrame:
     """Rows in replay order: by tick, then file, then frame (within ``by``,
     e.g. a match id).  A row's position inside its file is not exposed by
@@ -49,46 +50,51 @@ def replay_order(
     the last sort key: it makes the order total (identical keys no longer
     come out in arbitrary order) and lets the range partitioner split a hot
     key -- say tick 0 of many matches -- across tasks instead of sending it
-    to one.  Unlike the aggregates, a full sort moves all the data, so size
-    ``num_partitions`` by input volume (about input / 200 MB) at scale; by
-    default ``spark.sql.shuffle.partitions`` is used.
+    to one.  A full sort moves all the data, so the number of partitions
+    follows the rows (counted first, which reads no column of a columnar
+    table), not a setting.  Sort events before encoding them: the sampling
+    pass of the range partitioner computes whatever lies below it once more.
     """
     cols = [c for c in (*by, *keys) if c in df.columns]
     tiebreak = "_replay_tiebreak"
     ranked = df.withColumn(tiebreak, F.xxhash64(*[F.col(c) for c in df.columns]))
     order = [*cols, tiebreak]
-    if num_partitions:
-        ranked = ranked.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
-    else:
-        ranked = ranked.orderBy(*order)
-    return ranked.drop(tiebreak)
+    parts = num_partitions or max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_partition))
+    return ranked.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop(tiebreak)
 
 
-def message_key(cols: Sequence[str]) -> F.Column:
-    """``a:b:c`` of the given columns, NULL as empty, so keys keep positions.
+def message_key(cols: Sequence[str], value: F.Column | None = None) -> F.Column:
+    """``a:b:hash`` of the given columns, NULL as empty, so keys keep positions.
 
     A gap-free global counter would force all rows through one task; a key
-    built from the row's own coordinates is computed where the row lives.
+    built from the row's own coordinates and 64 bits of the hash of its
+    ``value`` is computed where the row lives.  Rows with different values
+    get different keys; a record that is sent twice keeps its key.
     """
-    return F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+    if value is not None:
+        parts.append(F.substring(F.md5(value), 1, 16))
+    return F.concat_ws(":", *parts)
 
 
 def to_payload(
     df: DataFrame,
     value_cols: Sequence[str] | None = None,
     topic_col: str = "topic",
-    key_cols: Sequence[str] = ("tick", "frame"),
+    key_cols: Sequence[str] = ("match_checksum", "tick"),
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """``(topic, key, value)`` records: value = the event columns as one CSV
-    line (NULL as an empty field), ready for a topic sink.  ``keep`` carries
-    extra columns (e.g. ``tick`` for ordering) in front."""
+    line (NULL as an empty field), key = :func:`message_key` of those of
+    ``key_cols`` that there are and the value; ready for a topic sink.
+    ``keep`` carries extra columns (e.g. ``tick`` for ordering) in front."""
     cols = list(value_cols) if value_cols is not None else [
         c for c in df.columns if c not in (topic_col, "file_name")
     ]
-    return df.select(
+    lines = df.withColumn("_value", encode_csv(cols))
+    return lines.select(
         *keep,
         F.col(topic_col).alias("topic"),
-        message_key(key_cols).alias("key"),
-        encode_csv(cols).alias("value"),
+        message_key([c for c in key_cols if c in df.columns], F.col("_value")).alias("key"),
+        F.col("_value").alias("value"),
     )

@@ -24,8 +24,8 @@ def test_payload_round_trip(spark, make_kills):
     assert {r.topic for r in records.collect()} == {"game.kills"}
     back = decode_events(records, "kills")
     assert sorted_rows(back) == sorted_rows(src.select(*KILLS.fieldNames()))
-    keys = sorted(r.key for r in records.collect())
-    assert keys[0] == "0:0"
+    keys = {r.key for r in records.collect()}
+    assert len(keys) == 20 and all(k.count(":") == 2 for k in keys)
 
 
 def test_replay_order_is_total_and_splits_hot_keys(spark):
@@ -40,3 +40,24 @@ def test_replay_order_is_total_and_splits_hot_keys(spark):
     sizes = [n for n in ranged.rdd.glom().map(len).collect() if n]
     assert len(sizes) > 1 and max(sizes) < 400
     assert replay_order(hot, num_partitions=4).columns == hot.columns
+
+
+def test_distinct_rows_have_distinct_keys(spark, make_kills):
+    # same tick and frame in many matches, and rows that differ in one field only
+    rows = [dict(frame=f, tick=t, match_checksum=m, victim_steamid=v)
+            for m in ("m1", "m2", None) for t in (1, 2) for f in (0, 1) for v in (5, 6, None)]
+    src = make_kills(rows).withColumn("topic", F.lit("game.kills"))
+    keys = [r.key for r in to_payload(src).collect()]
+    assert len(set(keys)) == len(rows)
+    again = [r.key for r in to_payload(src.repartition(5)).collect()]
+    assert sorted(keys) == sorted(again)
+
+
+def test_elapsed_seconds_floor(spark):
+    from fragstat.functions.routing import elapsed_seconds, raw_field
+
+    df = spark.createDataFrame([(t,) for t in (0, 142, 143, 2**53 + 1, -1, None)], "tick long")
+    assert [r[0] for r in df.select(elapsed_seconds("tick")).collect()] == [
+        None if t is None else t * 7 // 1000 for t in (0, 142, 143, 2**53 + 1, -1, None)]
+    lines = spark.createDataFrame([("a,12,c,d",), ("a,12",), ("a",), ("",), ("a,x,1",)], "line string")
+    assert [r[0] for r in lines.select(raw_field("line", 1, "int")).collect()] == [12, 12, None, None, None]
