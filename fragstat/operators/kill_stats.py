@@ -18,9 +18,7 @@ per-batch statistics are defined.  Two implementations:
 
 ``player_name`` and ``timestamp_seconds`` come from the player's earliest
 kill: lowest tick, kills without a tick last, ties broken by the smaller
-name, then the smaller time.  Only two kills of one player with the same
-name and tick but different times are left to chance; on the replay clock
-time is a function of the tick, so that does not happen within a match.
+name, then the smaller time (kills without a time last).
 
 ``by`` adds grouping keys in front of the player id (for example a batch or
 match id), so many snapshots are computed in the same single job.
@@ -38,6 +36,9 @@ from ..functions.metrics import headshot_percentage, kd_ratio
 KILLER, VICTIM, ASSISTER = 0, 1, 2
 # Ordering value of a kill without a tick: after every real tick.
 NO_TICK = 2**63 - 1
+# Room for the time beside the tick, and where time zero lies in it: times
+# between plus and minus 5e18 fit, and so do all ticks.
+TIME_SPAN, TIME_ZERO = 10**19, 5 * 10**18
 
 OUTPUT_COLUMNS = [
     "player_id", "player_name", "kills", "deaths", "assists",
@@ -46,19 +47,35 @@ OUTPUT_COLUMNS = [
 
 
 def _kill_order() -> Column:
-    return F.coalesce(F.col("tick").cast("long"), F.lit(NO_TICK))
+    """Tick, then time, as one number: ``tick * TIME_SPAN + time``.  One
+    decimal is a fixed-width aggregation buffer, which a struct is not, so its
+    minimum stays in a hash aggregate."""
+    tick = F.coalesce(F.col("tick").cast("long"), F.lit(NO_TICK)).cast("decimal(19,0)")
+    time = F.coalesce(F.col("timestamp_seconds").cast("decimal(19,0)") + F.expr(f"{TIME_ZERO}BD"),
+                      F.expr(f"{TIME_SPAN - 1}BD"))
+    return (tick * F.expr(f"{TIME_SPAN}BD") + time).cast("decimal(38,0)")
+
+
+def _first_tick() -> Column:
+    return F.expr(f"first_order div {TIME_SPAN}BD")
+
+
+def _first_time() -> Column:
+    time = F.expr(f"first_order % {TIME_SPAN}BD")
+    return F.when(time != F.expr(f"{TIME_SPAN - 1}BD"), (time - F.expr(f"{TIME_ZERO}BD")).cast("long"))
 
 
 def _first_kill(per_name: DataFrame, by: Sequence[str], counts: Sequence[Column] = ()) -> DataFrame:
     """Second level of the identity: per player, the (name, time) of the
     name group holding the earliest kill (ties: smaller name, then time).
 
-    ``per_name`` has one row per (player, name) with ``first_order`` and
-    ``first_ts``, so this aggregate sees a handful of rows per player.
+    ``per_name`` has one row per (player, name) with ``first_order``, so this
+    aggregate sees a handful of rows per player.
     """
     earliest = F.min(F.when(
         F.col("first_order").isNotNull(),
-        F.struct("first_order", F.col("name").alias("player_name"), F.col("first_ts").alias("timestamp_seconds")),
+        F.struct(_first_tick().alias("tick"), F.col("name").alias("player_name"),
+                 F.col("first_order"), _first_time().alias("timestamp_seconds")),
     )).alias("first_kill")
     return per_name.groupBy(*by, "player_id").agg(*counts, earliest)
 
@@ -86,8 +103,7 @@ def _role(player: str, role: int, killer: bool) -> Column:
         F.lit(role).alias("role"),
         ((F.col("headshot") == 1) if killer else F.lit(False)).alias("headshot"),
         only_killer(F.col("killer_name"), "string").alias("name"),
-        only_killer(_kill_order(), "long").alias("kill_order"),
-        only_killer(F.col("timestamp_seconds").cast("long"), "long").alias("ts"),
+        only_killer(_kill_order(), "decimal(38,0)").alias("kill_order"),
     )
 
 
@@ -96,7 +112,7 @@ def player_kill_stats(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     aggregate with a map-side partial step.
 
     Level 1 groups the role rows by ``(player_id, name)`` -- counts, and the
-    earliest kill of each name group (``min`` / ``min_by`` on a long, so the
+    earliest kill of each name group (``min`` of one decimal, so the
     aggregation buffer stays fixed-width).  Level 2 folds the few name
     groups of each player into one row.
     """
@@ -117,7 +133,6 @@ def player_kill_stats(kills: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.count_if(role == ASSISTER).alias("assists"),
             F.count_if(F.col("headshot")).alias("headshots"),
             F.min("kill_order").alias("first_order"),
-            F.min_by("ts", "kill_order").alias("first_ts"),
         )
     )
     counts = [F.sum(c).alias(c) for c in ("kills", "deaths", "assists", "headshots")]
@@ -161,10 +176,7 @@ def _identity_per_name(kills: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
         kills.where(F.col("killer_steamid").isNotNull())
         .groupBy(*by, F.col("killer_steamid").alias("player_id"), F.col("killer_name").alias("name"))
-        .agg(
-            F.min(_kill_order()).alias("first_order"),
-            F.min_by(F.col("timestamp_seconds").cast("long"), _kill_order()).alias("first_ts"),
-        )
+        .agg(F.min(_kill_order()).alias("first_order"))
     )
 
 
@@ -193,7 +205,7 @@ def player_kill_stats_joined(kills: DataFrame, by: Sequence[str] = ()) -> DataFr
         .join(deaths_by_victim(base, by), keys, "left")
         .join(assists_by_assister(base, by), keys, "left")
         .join(names, keys, "inner")
-        .na.fill(0, ["kills", "deaths", "assists", "headshots"])
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("deaths", "assists")})
     )
     return _finish(joined, by)
 

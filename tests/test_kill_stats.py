@@ -135,3 +135,15 @@ def test_grouped_join_form_equals_grouped_one_pass(make_kills):
             "kd_ratio", "headshot_percentage", "timestamp_seconds"]
     assert sorted_rows(ks.player_kill_stats(df, by=["round"]), cols) == \
         sorted_rows(ks.player_kill_stats_joined(df, by=["round"]), cols)
+
+
+def test_earliest_kill_is_the_same_in_any_order(spark, make_kills):
+    """Ties on the tick: the smaller name, then the smaller time, kills without a time last."""
+    rows = [dict(tick=5, killer_steamid=1, killer_name=n, timestamp_seconds=t, victim_steamid=2)
+            for n, t in (("b", 1), ("a", 9), ("a", None), ("a", -7), ("a", 1700000000), ("c", 0))]
+    rows += [dict(tick=4, killer_steamid=3, killer_name="z", timestamp_seconds=None, victim_steamid=2)] * 2
+    kills = make_kills(rows)
+    for order in (kills, kills.repartition(4), kills.orderBy("timestamp_seconds"), kills.orderBy(F.desc("killer_name"))):
+        for stats in (ks.player_kill_stats(order), ks.player_kill_stats_joined(order), ks.player_identity(order)):
+            got = {r.player_id: (r.player_name, r.timestamp_seconds) for r in stats.collect()}
+            assert got == {1: ("a", -7), 3: ("z", None)}
