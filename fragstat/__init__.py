@@ -15,7 +15,7 @@ from .operators.kill_stats import (
     player_stats_snapshots,
 )
 from .operators.replay import replay_order, route_topic, to_payload, with_elapsed_seconds
-from .sinks.table import read_result_table, table_sink, write_batch, write_batches
+from .sinks.table import compact, latest_per_batch, read_result_table, table_sink, write_batch, write_batches
 from .sources.files import read_lines, read_match_logs, read_roster
 from .sources.topic import decode_events, read_topic, read_topic_log
 from .streaming.jobs import run_match_stats, start_damage_stats, start_kill_stats
@@ -27,7 +27,7 @@ __all__ = [
     "player_damage_stats", "kd_trend", "player_totals", "player_identity",
     "player_kill_stats", "player_kill_stats_joined", "player_stats_snapshots",
     "replay_order", "route_topic", "to_payload", "with_elapsed_seconds",
-    "read_result_table", "table_sink", "write_batch", "write_batches",
+    "compact", "latest_per_batch", "read_result_table", "table_sink", "write_batch", "write_batches",
     "read_lines", "read_match_logs", "read_roster",
     "decode_events", "read_topic", "read_topic_log",
     "run_match_stats", "start_damage_stats", "start_kill_stats",

@@ -7,9 +7,9 @@ the statement out for databases provisioned ahead of time.  Complex
 columns (array, map, struct) are stored as JSON text.
 
 Delivery is at-least-once: a batch that is run again is appended again.
-Rows carry ``batch_id``, so readers can keep the latest ``recorded_at`` per
-batch; the parquet table sink (:mod:`fragstat.sinks.table`) is the
-exactly-once option.
+Rows carry ``batch_id`` and ``recorded_at``; readers apply
+:func:`fragstat.sinks.table.latest_per_batch`, which keeps the latest write
+of each batch.
 """
 
 from __future__ import annotations
@@ -58,6 +58,17 @@ def sql_type(dtype: DataType) -> str:
     return DEFAULT_SQL_TYPE
 
 
+def column_types(schema: StructType) -> str:
+    """``name TYPE, ...`` for Spark's ``createTableColumnTypes``.
+
+    Spark parses these types itself before it hands them to the database, so
+    only those go in that its own parser knows; it derives the others
+    (``TEXT``, ``DOUBLE PRECISION``) from the database's dialect, with the
+    same result."""
+    known = {"INTEGER", "BIGINT", "REAL", "BOOLEAN", "DECIMAL", "TIMESTAMP", "DATE"}
+    return ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in schema.fields if sql_type(f.dataType) in known)
+
+
 def create_table_ddl(table: str, schema: StructType) -> str:
     cols = ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in schema.fields)
     return f"CREATE TABLE IF NOT EXISTS {table} ({cols})"
@@ -87,7 +98,8 @@ def write_jdbc(
     ``num_partitions`` caps concurrent connections (Spark coalesces to it);
     ``batch_size`` sets rows per insert round trip.
     """
-    writer = jdbc_ready(stamp(df, batch_id)).write.mode("append")
+    rows = jdbc_ready(stamp(df, batch_id))
+    writer = rows.write.mode("append").option("createTableColumnTypes", column_types(rows.schema))
     if num_partitions:
         writer = writer.option("numPartitions", str(num_partitions))
     if batch_size:

@@ -1,19 +1,31 @@
-"""Result-table sink with replay-safe batches.
+"""Result-table sink: append-only writes, of which readers keep the latest.
 
-Every written row is stamped with its ``batch_id`` and ``recorded_at``; the
-table is partitioned by ``batch_id`` and each batch overwrites only its own
-partition (dynamic partition overwrite).  A micro-batch that is run again
-after a failure therefore replaces its earlier output instead of adding a
-second copy.
+A write of a batch appends its rows, stamped with ``batch_id``,
+``recorded_at`` and the ``write_id`` of the write, and one marker row.
+Nothing is replaced on disk.  :func:`latest_per_batch` keeps, of each batch,
+the rows of its latest write, so a micro-batch that is run again after a
+failure, or a backfill that is repeated, counts once -- also when the batch
+has become empty, for which the marker alone stands.
+
+The table is partitioned by the date of the write: the number of folders
+follows the days, not the batches.  :func:`compact` rewrites a table into few
+files of latest rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
 BATCH_COLUMN = "batch_id"
 RECORDED_AT = "recorded_at"
+WRITE_ID = "write_id"
+MARKER = "is_marker"
+DATE_PARTITION = "recorded_date"
 
 
 def stamp(df: DataFrame, batch_id: int | None = None) -> DataFrame:
@@ -24,37 +36,48 @@ def stamp(df: DataFrame, batch_id: int | None = None) -> DataFrame:
     return out
 
 
+def table_schema(result: StructType) -> StructType:
+    """Layout of a stored table: the result columns and what a write adds."""
+    return StructType([
+        *result.fields,
+        StructField(BATCH_COLUMN, LongType(), True),
+        StructField(MARKER, BooleanType(), True),
+        StructField(WRITE_ID, StringType(), True),
+        StructField(RECORDED_AT, TimestampType(), True),
+        StructField(DATE_PARTITION, DateType(), True),
+    ])
+
+
+def _append(df: DataFrame, batches: DataFrame, path: str, fmt: str) -> None:
+    rows = df.withColumn(MARKER, F.lit(False)).unionByName(
+        batches.select(F.col(BATCH_COLUMN).cast("long").alias(BATCH_COLUMN), F.lit(True).alias(MARKER)),
+        allowMissingColumns=True)
+    stamped = stamp(rows).withColumns({
+        WRITE_ID: F.lit(uuid.uuid4().hex), DATE_PARTITION: F.to_date(F.current_timestamp())})
+    stamped.write.mode("append").partitionBy(DATE_PARTITION).format(fmt).save(path)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Write one batch's result to the table at ``path``, replacing any
-    earlier write of the same batch id."""
-    (
-        stamp(df, batch_id)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .format(fmt)
-        .save(path)
-    )
+    """Append one batch's result; it stands for the batch from now on."""
+    spark = df.sparkSession
+    batches = spark.range(1).select(F.lit(int(batch_id)).cast("long").alias(BATCH_COLUMN))
+    _append(df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long")), batches, path, fmt)
 
 
-def write_batches(df: DataFrame, path: str, fmt: str = "parquet", order: tuple[str, ...] = ("player_id",)) -> None:
-    """Backfill: write rows that already carry ``batch_id`` for many batches
-    in one job, replacing exactly the batches present.
+def write_batches(df: DataFrame, path: str, fmt: str = "parquet", order: tuple[str, ...] = ("player_id",),
+                  batches: DataFrame | None = None) -> None:
+    """Backfill: append rows that already carry ``batch_id``, for many batches,
+    in one job.
 
-    Rows are range-partitioned on ``(batch_id, *order)`` first, so each task
-    writes a contiguous run of batches (few files per batch) and a large
-    batch is still spread over several tasks.
+    ``batches`` (a frame with ``batch_id``) names all batches that the backfill
+    covers, so that those without rows are emptied; by default they are the
+    batches in ``df``.  Rows are range-partitioned on ``(batch_id, *order)``,
+    so a large batch is spread over several tasks.
     """
     keys = [BATCH_COLUMN, *[c for c in order if c in df.columns]]
-    (
-        df.withColumn(RECORDED_AT, F.current_timestamp())
-        .repartitionByRange(*keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .format(fmt)
-        .save(path)
-    )
+    present = df.select(BATCH_COLUMN)
+    covered = present if batches is None else present.unionByName(batches.select(BATCH_COLUMN))
+    _append(df.repartitionByRange(*keys), covered.distinct(), path, fmt)
 
 
 def table_sink(path: str, fmt: str = "parquet"):
@@ -64,10 +87,50 @@ def table_sink(path: str, fmt: str = "parquet"):
     return sink
 
 
-def read_result_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The table with ``batch_id`` as BIGINT (partition discovery infers INT).
-    Filters on ``batch_id`` prune partitions."""
-    df = spark.read.format(fmt).load(path)
-    if BATCH_COLUMN in df.columns:
-        df = df.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("long"))
-    return df
+def latest_per_batch(df: DataFrame) -> DataFrame:
+    """Of each batch the rows of its latest write (by ``recorded_at``, then
+    ``write_id`` where there is one), without marker rows; for any append sink.
+
+    The latest write is one row per batch from a partial aggregation; the rows
+    meet it by a join on the batch.
+    """
+    order = F.struct(*[c for c in (RECORDED_AT, WRITE_ID) if c in df.columns])
+    latest = df.groupBy(BATCH_COLUMN).agg(F.max(order).alias("_latest"))
+    kept = df.join(latest, BATCH_COLUMN).where(order == F.col("_latest")).drop("_latest")
+    return kept.where(~F.col(MARKER)) if MARKER in df.columns else kept
+
+
+def read_written(spark: SparkSession, path: str, result: StructType, fmt: str = "parquet") -> DataFrame:
+    """Everything ever written to the table, markers included; an empty frame
+    before the first write."""
+    schema = table_schema(result)
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" not in str(err):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_result_table(spark: SparkSession, path: str, result: StructType, fmt: str = "parquet") -> DataFrame:
+    """The table as readers see it: result columns, ``batch_id`` and
+    ``recorded_at`` of each batch's latest write."""
+    rows = latest_per_batch(read_written(spark, path, result, fmt))
+    return rows.select(*result.fieldNames(), BATCH_COLUMN, RECORDED_AT)
+
+
+def compact(spark: SparkSession, path: str, target: str, result: StructType, fmt: str = "parquet",
+            rows_per_file: int = 5_000_000) -> None:
+    """Write the latest rows of the table, and a marker for each batch, to the
+    new folder ``target`` in files of up to ``rows_per_file`` rows, sorted by
+    batch.  Switch readers and writers to it, then drop the old folder."""
+    written = read_written(spark, path, result, fmt)
+    order = F.struct(RECORDED_AT, WRITE_ID)
+    latest = written.groupBy(BATCH_COLUMN).agg(F.max(order).alias("_latest"))
+    rows = written.join(latest, BATCH_COLUMN).where(order == F.col("_latest")).drop("_latest")
+    parts = max(1, -(-rows.count() // rows_per_file))
+    (
+        rows.repartitionByRange(parts, BATCH_COLUMN, *result.fieldNames()[:1])
+        .sortWithinPartitions(BATCH_COLUMN)
+        .write.mode("errorifexists").partitionBy(DATE_PARTITION).format(fmt).save(target)
+    )

@@ -27,6 +27,10 @@ def publish(df: DataFrame, bootstrap_servers: str, fmt: str = "kafka", **options
     writer.save()
 
 
-def append_topic_log(df: DataFrame, path: str) -> None:
-    """Append records to a file-backed topic log (one folder per topic)."""
-    _records(df).write.mode("append").partitionBy("topic").parquet(path)
+def append_topic_log(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """Append records to a file-backed topic log: one folder per topic, below
+    one per value of the columns ``by``."""
+    columns = [F.col(c) for c in by]
+    records = df.select(*columns, F.col("key").cast("binary").alias("key"),
+                        F.col("value").cast("binary").alias("value"), F.col("topic"))
+    records.write.mode("append").partitionBy(*by, "topic").parquet(path)
