@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from fragstat.operators.replay import to_payload  # noqa: E402
 from fragstat.schemas import KILLS_TOPIC  # noqa: E402
-from fragstat.sinks.matchlog import write_match_logs  # noqa: E402
+from fragstat.sinks.matchlog import WRITTEN_FILES, write_match_logs  # noqa: E402
 from fragstat.sinks.topic import append_topic_log  # noqa: E402
 from fragstat.sources.files import read_match_logs  # noqa: E402
 from fragstat.sources.testviews import kills_view  # noqa: E402
@@ -62,13 +62,13 @@ STAGED = ("csv_", "topic_")
 def staged_queries(spark, sf_dir: str, cpus: int) -> dict:
     kills = kills_view(spark, sf_dir)
     folder = scratch_path(spark, "bench", "matchlogs")
-    write_match_logs(kills.repartition(cpus), folder, "kills")
+    write_match_logs(kills, folder)
     log = scratch_path(spark, "bench", "topiclog")
     records = to_payload(kills.withColumn("topic", F.lit(KILLS_TOPIC)), kills.columns)
-    append_topic_log(records.repartition(cpus), log)
+    append_topic_log(records, log)
 
     def csv(s):
-        return read_match_logs(s, folder, "kills")
+        return read_match_logs(s, folder, "kills", glob=WRITTEN_FILES)
 
     def topic(s):
         return decode_events(read_topic_log(s, log, KILLS_TOPIC, streaming=False), "kills")

@@ -13,9 +13,9 @@ from __future__ import annotations
 # --- event views over lineitem (same mapping as sources/testviews.py) ------
 KILL_COLUMNS_SQL = """
   CAST(NULL AS INTEGER) AS frame,
-  l_orderkey AS tick,
-  CAST(l_linenumber AS INTEGER) AS round,
-  'p' || CAST(l_suppkey AS VARCHAR) AS killer_name,
+  CAST(l_orderkey % 10000 AS INTEGER) AS tick,
+  CAST(l_orderkey % 10000 % 61 AS INTEGER) AS round,
+  'p' || CAST(l_suppkey AS VARCHAR) || '_' || CAST(l_orderkey % 10000 % 3 AS VARCHAR) AS killer_name,
   CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN NULL ELSE l_suppkey END AS killer_steamid,
   CAST(NULL AS INTEGER) AS killer_side,
   CAST(NULL AS VARCHAR) AS killer_team_name,
@@ -29,7 +29,7 @@ KILL_COLUMNS_SQL = """
   CAST(NULL AS VARCHAR) AS assister_team_name,
   CAST(NULL AS VARCHAR) AS weapon_name,
   CAST(NULL AS VARCHAR) AS weapon_type,
-  CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END AS headshot,
+  CASE WHEN l_quantity > 40 THEN 1 WHEN l_quantity > 10 THEN 0 END AS headshot,
   CAST(NULL AS INTEGER) AS penetrated_objects,
   CAST(NULL AS INTEGER) AS is_flash_assist,
   CAST(NULL AS INTEGER) AS killer_controlling_bot,
@@ -54,21 +54,21 @@ KILL_COLUMNS_SQL = """
   CAST(NULL AS INTEGER) AS is_through_smoke,
   CAST(NULL AS INTEGER) AS is_no_scope,
   CAST(NULL AS DOUBLE) AS distance,
-  CAST(NULL AS VARCHAR) AS match_checksum,
-  (l_orderkey * 7) // 1000 AS timestamp_seconds
+  'm' || CAST(l_orderkey // 10000 AS VARCHAR) AS match_checksum,
+  (l_orderkey % 10000 * 7) // 1000 AS timestamp_seconds
 """
 
 DAMAGE_COLUMNS_SQL = """
   CAST(NULL AS INTEGER) AS frame,
-  l_orderkey AS tick,
-  CAST(l_linenumber AS INTEGER) AS round,
+  CAST(l_orderkey % 10000 AS INTEGER) AS tick,
+  CAST(l_orderkey % 10000 % 61 AS INTEGER) AS round,
   CAST(NULL AS INTEGER) AS health,
   CAST(NULL AS INTEGER) AS armor,
-  100 AS victim_health,
-  100 - CAST(l_quantity AS INTEGER) AS victim_new_health,
+  CASE WHEN l_quantity <> 7 THEN 100 END AS victim_health,
+  105 - CAST(l_quantity AS INTEGER) AS victim_new_health,
   CAST(NULL AS INTEGER) AS victim_armor,
   CAST(NULL AS INTEGER) AS victim_new_armor,
-  l_suppkey AS attacker_steamid,
+  CASE WHEN l_linenumber <> 2 THEN l_suppkey END AS attacker_steamid,
   CAST(NULL AS INTEGER) AS attacker_side,
   CAST(NULL AS VARCHAR) AS attacker_team_name,
   CAST(NULL AS INTEGER) AS is_attacker_controlling_bot,
@@ -80,8 +80,8 @@ DAMAGE_COLUMNS_SQL = """
   CAST(NULL AS VARCHAR) AS weapon_class,
   CAST(NULL AS INTEGER) AS hitgroup,
   CAST(NULL AS VARCHAR) AS weapon_unique_id,
-  CAST(NULL AS VARCHAR) AS match_checksum,
-  (l_orderkey * 7) // 1000 AS timestamp_seconds
+  'm' || CAST(l_orderkey // 10000 AS VARCHAR) AS match_checksum,
+  (l_orderkey % 10000 * 7) // 1000 AS timestamp_seconds
 """
 
 KILLS_CTE = f"kills AS (SELECT {KILL_COLUMNS_SQL} FROM lineitem)"
@@ -170,20 +170,25 @@ SELECT tick, round, attacker_steamid, victim_health - victim_new_health AS damag
 FROM damages
 """
 
-PLAYER_DAMAGE_STATS = f"""
+def _damage_stats_sql(rounds: str) -> str:
+    return f"""
 WITH {DAMAGES_CTE},
 agg AS (
   SELECT attacker_steamid AS player_id,
          CAST(SUM(victim_health - victim_new_health) AS BIGINT) AS total_damage,
-         COUNT(DISTINCT round) AS rounds
+         COUNT(DISTINCT {rounds}) AS rounds
   FROM damages GROUP BY attacker_steamid
 )
 SELECT player_id, total_damage, rounds,
-       CASE WHEN rounds > 0 THEN {half_up_2('total_damage', 'rounds')}
+       CASE WHEN rounds > 0 THEN sign(total_damage) * {half_up_2('abs(total_damage)', 'rounds')}
             ELSE CAST(0.0 AS DOUBLE) END AS damage_per_round
 FROM agg
 """
 
+
+PLAYER_DAMAGE_STATS = _damage_stats_sql("round")
+PLAYER_DAMAGE_STATS_BY_MATCH = _damage_stats_sql("match_checksum || ':' || CAST(round AS VARCHAR)")
+
 ORACLE_SQL: dict[str, str] = {
     "player_kill_stats": PLAYER_KILL_STATS,
     "player_kill_stats_joined": PLAYER_KILL_STATS,
@@ -194,6 +199,7 @@ ORACLE_SQL: dict[str, str] = {
     "damage_dealt": DAMAGE_DEALT,
     "player_damage_stats": PLAYER_DAMAGE_STATS,
     "player_damage_stats_exact": PLAYER_DAMAGE_STATS,
+    "player_damage_stats_by_match": PLAYER_DAMAGE_STATS_BY_MATCH,
 }
 
 
@@ -220,6 +226,7 @@ SELECT * REPLACE (
   CASE WHEN killer_steamid IS NULL THEN tick WHEN headshot = 1 THEN NULL ELSE tick END AS tick,
   CASE WHEN killer_steamid IS NULL THEN NULL ELSE assister_steamid END AS assister_steamid,
   CASE WHEN killer_steamid IS NULL THEN NULL ELSE headshot END AS headshot,
+  CASE WHEN killer_steamid IS NULL THEN NULL ELSE match_checksum END AS match_checksum,
   CASE WHEN killer_steamid IS NULL THEN NULL ELSE timestamp_seconds END AS timestamp_seconds
 )
 FROM kills
@@ -247,21 +254,24 @@ SELECT l_orderkey AS tick,
 FROM lineitem
 """
 
+def _records_sql(topic: str, columns_sql: str, table: str) -> str:
+    return f"""
+SELECT '{topic}' AS topic, match_checksum || ':' || CAST(tick AS VARCHAR) || ':' || substr(md5(value), 1, 16) AS key, value
+FROM (SELECT match_checksum, tick, {_csv_line(columns_sql)} AS value FROM {table})
+"""
+
+
 REPLAY_PAYLOADS = f"""
 WITH {KILLS_CTE}, {DAMAGES_CTE}
-SELECT 'game.kills' AS topic, CAST(tick AS VARCHAR) || ':' || coalesce(CAST(frame AS VARCHAR), '') AS key,
-       {_csv_line(KILL_COLUMNS_SQL)} AS value
-FROM kills
+{_records_sql('game.kills', KILL_COLUMNS_SQL, 'kills')}
 UNION ALL
-SELECT 'game.damages', CAST(tick AS VARCHAR) || ':' || coalesce(CAST(frame AS VARCHAR), ''),
-       {_csv_line(DAMAGE_COLUMNS_SQL)}
-FROM damages
+{_records_sql('game.damages', DAMAGE_COLUMNS_SQL, 'damages')}
 """
 
 # --- snapshots and dashboards -------------------------------------------------
 
 SNAPSHOT_KILLS_CTE = (
-    f"kills AS (SELECT {KILL_COLUMNS_SQL}, ((l_orderkey * 7) // 1000) // 60 AS batch_id FROM lineitem)"
+    f"kills AS (SELECT {KILL_COLUMNS_SQL}, ((l_orderkey % 10000 * 7) // 1000) // 10 AS batch_id FROM lineitem)"
 )
 
 PLAYER_STATS_SNAPSHOTS = f"""
@@ -285,8 +295,8 @@ SELECT player_name,
        CAST(SUM(kills) AS BIGINT) AS kills,
        CAST(SUM(deaths) AS BIGINT) AS deaths,
        CAST(SUM(assists) AS BIGINT) AS assists,
-       CAST(SUM(CAST(round(kd_ratio * 100) AS BIGINT)) AS DOUBLE) / 100 AS kd_ratio,
-       CAST(SUM(CAST(round(headshot_percentage * 100) AS BIGINT)) AS DOUBLE) / 100 AS headshots_persantage
+       round(SUM(kd_ratio), 2) AS kd_ratio,
+       round(SUM(headshot_percentage), 2) AS headshots_persantage
 FROM stats WHERE player_name IS NOT NULL
 GROUP BY player_name
 """
@@ -310,16 +320,14 @@ def _without_replay_time(columns_sql: str) -> str:
     return ",\n".join(c for c in columns_sql.strip().split(",\n") if not c.strip().endswith(" AS timestamp_seconds"))
 
 
-# Match-log files are read with the declared kill schema, where tick is INT.
 MATCH_LOG_KILLS = f"""
 WITH {KILLS_CTE}
-SELECT * REPLACE (CAST(tick AS INTEGER) AS tick), 'game.kills' AS topic FROM kills
+SELECT *, 'game.kills' AS topic FROM kills
 """
 
 RAW_LINES = f"""
 WITH {KILLS_CTE}
-SELECT {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line,
-       CAST(tick AS INTEGER) AS tick
+SELECT {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line, tick
 FROM kills
 """
 
@@ -335,7 +343,25 @@ STREAM_DAMAGE_STATS = f"""
 SELECT *, CAST(0 AS BIGINT) AS batch_id FROM ({PLAYER_DAMAGE_STATS})
 """
 
+# One micro-batch for each file, one file for each match.
+STREAM_KILL_STATS_PER_FILE = f"""
+WITH {KILLS_CTE},
+{_kill_stats_sql('match_checksum')}
+SELECT * EXCLUDE (match_checksum) FROM stats
+"""
+
+# What the quarantine keeps: the damaged lines themselves, whole.
+CSV_DECODE_QUARANTINE = f"""
+WITH {KILLS_CTE}, lines AS (SELECT *, {_csv_line(KILL_COLUMNS_SQL)} AS line FROM kills)
+SELECT CASE WHEN killer_steamid IS NULL THEN array_to_string(string_split(line, ',')[1:10], ',')
+            ELSE regexp_replace(line, '^([^,]*),', '\\1,x') END AS corrupt
+FROM lines WHERE killer_steamid IS NULL OR headshot = 1
+"""
+
 ORACLE_SQL.update({
+    "stream_kill_stats_per_file": STREAM_KILL_STATS_PER_FILE,
+    "csv_decode_quarantine": CSV_DECODE_QUARANTINE,
+    "retried_batches": PLAYER_TOTALS,
     "backfill_player_stats": PLAYER_STATS_SNAPSHOTS,
     "match_log_kills": MATCH_LOG_KILLS,
     "raw_lines": RAW_LINES,

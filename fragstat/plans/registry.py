@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.decode import decode_csv, encode_csv, with_damage_dealt
 from ..functions.routing import elapsed_seconds, topic_for_file
 from ..operators import damage_stats as dmg
-from ..operators import dashboards as dash
 from ..operators import kill_stats as ks
 from ..operators.replay import replay_order, to_payload
 from ..schemas import DAMAGES_TOPIC, KILLS_TOPIC
 from ..sources.testviews import damages_view, kills_view, read_table
-from .staged import STAGED_QUERIES
+from .malformed import damaged_lines
+from .staged import STAGED_QUERIES, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,17 +41,9 @@ def csv_roundtrip(events: DataFrame) -> DataFrame:
 
 
 def csv_malformed_roundtrip(events: DataFrame) -> DataFrame:
-    """Decode payloads damaged on purpose, derived row by row: lines of kills
-    without a killer keep only their first 10 fields (the tail must decode
-    to NULL), headshot lines get an unparsable tick (that field NULL, the
-    rest intact).  Every row is kept (PERMISSIVE)."""
-    line = encode_csv(events.columns)
-    payload = (
-        F.when(F.col("killer_steamid").isNull(), F.substring_index(line, ",", 10))
-        .when(F.col("headshot") == 1, F.regexp_replace(line, "^([^,]*),", "$1,x"))
-        .otherwise(line)
-    )
-    return decode_csv(events.select(payload.alias("value")), events.schema)
+    """Decode damaged payloads: what does not parse is NULL, the rest intact,
+    and every row is kept (PERMISSIVE)."""
+    return decode_csv(damaged_lines(events), events.schema)
 
 
 def match_file_names(lineitem: DataFrame) -> DataFrame:
@@ -82,17 +74,15 @@ def elapsed_seconds_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both event kinds as (topic, key, value) records in replay order."""
+    """Both event kinds as (topic, key, value) records, each topic in replay
+    order.  Events are sorted first and encoded after, so that the sampling
+    pass of the sort encodes nothing."""
     def records(events: DataFrame, topic: str) -> DataFrame:
-        return to_payload(events.withColumn("topic", F.lit(topic)), events.columns, keep=("tick",))
+        ordered = replay_order(events.withColumn("topic", F.lit(topic)), keys=("tick",))
+        return to_payload(ordered, events.columns)
 
-    both = records(kills_view(spark, sf_dir), KILLS_TOPIC).unionByName(
+    return records(kills_view(spark, sf_dir), KILLS_TOPIC).unionByName(
         records(damages_view(spark, sf_dir), DAMAGES_TOPIC))
-    return replay_order(both, keys=("tick", "topic")).drop("tick")
-
-
-def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ks.player_stats_snapshots(kills_view(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -103,7 +93,10 @@ QUERIES: dict[str, Query] = {
     "assists_by_assister": _on_kills(ks.assists_by_assister),
     "player_identity": _on_kills(ks.player_identity),
     "damage_dealt": _on_damages(dmg.damage_dealt_rows),
-    "player_damage_stats": _on_damages(dmg.player_damage_stats),
+    # 61 rounds: the default error of 5 % may be off by one, this one is exact there
+    "player_damage_stats": _on_damages(lambda d: dmg.player_damage_stats(d, rsd=0.01)),
+    "player_damage_stats_by_match": _on_damages(
+        lambda d: dmg.player_damage_stats(d, exact=True, round_keys=("match_checksum", "round"))),
     "player_damage_stats_exact": _on_damages(lambda d: dmg.player_damage_stats(d, exact=True)),
     "csv_decode_kills": _on_kills(csv_roundtrip),
     "csv_decode_damages": _on_damages(lambda d: with_damage_dealt(csv_roundtrip(d))),
@@ -111,8 +104,6 @@ QUERIES: dict[str, Query] = {
     "topic_routing": topic_routing,
     "elapsed_seconds": elapsed_seconds_query,
     "replay_payloads": replay_payloads,
-    "player_stats_snapshots": _snapshots,
-    "kd_trend": lambda spark, sf_dir: dash.kd_trend(_snapshots(spark, sf_dir)),
-    "player_totals": lambda spark, sf_dir: dash.player_totals(_snapshots(spark, sf_dir)),
+    "player_stats_snapshots": snapshots,
 }
 QUERIES.update(STAGED_QUERIES)

@@ -10,93 +10,147 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
+from ..functions.decode import decode_csv
 from ..functions.routing import raw_field
-from ..operators.replay import to_payload
-from ..schemas import KILLS_TOPIC
-from ..sinks.matchlog import write_match_logs
+from ..operators import dashboards as dash
 from ..operators.kill_stats import player_stats_snapshots
-from ..sinks.table import RECORDED_AT, read_result_table, table_sink, write_batches
+from ..operators.replay import to_payload
+from ..schemas import KILLS_TOPIC, PLAYER_DAMAGE_STATS, PLAYER_STATS
+from ..sinks.matchlog import WRITTEN_FILES, write_match_logs
+from ..sinks.table import BATCH_COLUMN, RECORDED_AT, read_result_table, table_sink, write_batches
 from ..sinks.topic import append_topic_log
-from ..sources.files import name_glob, read_lines, read_match_logs, read_roster
+from ..sources.files import read_lines, read_match_logs, read_roster
 from ..sources.testviews import damages_view, kills_view, read_table
 from ..sources.topic import decode_events, read_topic_log
 from ..streaming.jobs import start_damage_stats, start_kill_stats
+from .malformed import damaged_lines
+
+SNAPSHOT_SECONDS = 10
 
 
 def stage_match_logs(spark: SparkSession, events: DataFrame, kind: str) -> str:
     folder = scratch_path(spark, "matchlogs", kind)
-    write_match_logs(events, folder, kind)
+    write_match_logs(events, folder)
     return folder
 
 
 def match_log_kills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kill events through a match-log folder and back (batch source)."""
     folder = stage_match_logs(spark, kills_view(spark, sf_dir), "kills")
-    return read_match_logs(spark, folder, "kills").drop("file_name")
+    return read_match_logs(spark, folder, "kills", glob=WRITTEN_FILES, topic=KILLS_TOPIC).drop("file_name")
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw, unparsed lines of the kill match-log files (headers dropped),
     with the tick split out of each line without CSV parsing."""
     folder = stage_match_logs(spark, kills_view(spark, sf_dir), "kills")
-    lines = read_lines(spark, folder, glob=name_glob("kills"))
+    lines = read_lines(spark, folder, glob=WRITTEN_FILES)
     return lines.select("line", raw_field("line", 1, "int").alias("tick"))
 
 
 def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roster lines of every ``*_players.csv`` file in a match folder that
-    also holds kill files (which the roster source must skip).  The roster
-    is ``steamid,name`` per supplier row."""
-    folder = stage_match_logs(spark, kills_view(spark, sf_dir), "kills")
+    """Lines of roster files: ``steamid,name`` per supplier row."""
+    folder = scratch_path(spark, "matchlogs", "players")
     players = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("steamid"), F.col("s_name").alias("name"))
-    write_match_logs(players, folder, "players", add_to_folder=True)
-    return read_roster(spark, folder).select("line")
+    write_match_logs(players, folder)
+    return read_roster(spark, folder, glob=WRITTEN_FILES).select("line")
 
 
-def backfill_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every per-minute snapshot written to the result table in one job,
-    then read back as the dashboards read it."""
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return player_stats_snapshots(kills_view(spark, sf_dir), SNAPSHOT_SECONDS)
+
+
+def stored_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every snapshot written to the result table in one job, then read back
+    as the dashboards read it."""
     table = scratch_path(spark, "tables", "player_stats_backfill")
-    write_batches(player_stats_snapshots(kills_view(spark, sf_dir)), table)
-    return read_result_table(spark, table).drop(RECORDED_AT)
+    write_batches(snapshots(spark, sf_dir), table)
+    return read_result_table(spark, table, PLAYER_STATS)
+
+
+def backfill_player_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_player_stats(spark, sf_dir).drop(RECORDED_AT)
+
+
+def kd_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend panel over the stored table."""
+    return dash.kd_trend(stored_player_stats(spark, sf_dir))
+
+
+def player_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals panel over the stored table."""
+    return dash.player_totals(stored_player_stats(spark, sf_dir))
 
 
-def _finish_stream(spark: SparkSession, query, table: str) -> DataFrame:
+def retried_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals panel over a table to which every batch was written, and
+    some batches once more, as after a failure."""
+    table = scratch_path(spark, "tables", "player_stats_retried")
+    rows = snapshots(spark, sf_dir)
+    write_batches(rows, table)
+    write_batches(rows.where(F.col(BATCH_COLUMN) % 3 == 0), table)
+    return dash.player_totals(read_result_table(spark, table, PLAYER_STATS))
+
+
+def _finish_stream(spark: SparkSession, query, table: str, schema) -> DataFrame:
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(str(query.exception()))
-    return read_result_table(spark, table).drop(RECORDED_AT)
+    return read_result_table(spark, table, schema).drop(RECORDED_AT)
+
+
+def _kill_records(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    kills = kills_view(spark, sf_dir)
+    return to_payload(kills.withColumn("topic", F.lit(KILLS_TOPIC)), kills.columns, keep=keep)
 
 
 def stream_kill_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kill events as topic records -> stream -> decode -> per-batch stats
     -> result table (all pending records in one ``availableNow`` batch)."""
     log = scratch_path(spark, "topiclog")
-    kills = kills_view(spark, sf_dir)
-    records = to_payload(kills.withColumn("topic", F.lit(KILLS_TOPIC)), kills.columns)
-    # one log file per core, as a topic with that many partitions: the
-    # files of a file-backed topic log are its unit of read parallelism
-    append_topic_log(records.repartition(spark.sparkContext.defaultParallelism), log)
+    append_topic_log(_kill_records(spark, sf_dir), log)
     stream = decode_events(read_topic_log(spark, log, KILLS_TOPIC), "kills")
     table = scratch_path(spark, "tables", "player_stats")
     query = start_kill_stats(
         stream, table_sink(table), scratch_path(spark, "streams", "kills"),
         trigger={"availableNow": True},
     )
-    return _finish_stream(spark, query, table)
+    return _finish_stream(spark, query, table, PLAYER_STATS)
+
+
+def stream_kill_stats_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in many micro-batches: one file for each match, one batch for
+    each file.  Batch numbers follow the files' order and are left out."""
+    log = scratch_path(spark, "topiclog-by-match")
+    records = _kill_records(spark, sf_dir, keep=("match_checksum",))
+    append_topic_log(records.repartition("match_checksum"), log, by=("match_checksum",))
+    stream = decode_events(read_topic_log(spark, log, KILLS_TOPIC, max_files_per_trigger=1), "kills")
+    table = scratch_path(spark, "tables", "player_stats_by_match")
+    query = start_kill_stats(
+        stream, table_sink(table), scratch_path(spark, "streams", "kills-by-match"),
+        trigger={"availableNow": True},
+    )
+    return _finish_stream(spark, query, table, PLAYER_STATS).drop(BATCH_COLUMN)
 
 
 def stream_damage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage match-log files -> file stream -> per-batch stats -> table."""
     folder = stage_match_logs(spark, damages_view(spark, sf_dir), "damages")
-    stream = read_match_logs(spark, folder, "damages", streaming=True)
+    stream = read_match_logs(spark, folder, "damages", streaming=True, glob=WRITTEN_FILES)
     table = scratch_path(spark, "tables", "player_damage_stats")
     query = start_damage_stats(
-        stream, table_sink(table), scratch_path(spark, "streams", "damages"),
+        stream, table_sink(table), scratch_path(spark, "streams", "damages"), exact=True,
         trigger={"availableNow": True},
     )
-    return _finish_stream(spark, query, table)
+    return _finish_stream(spark, query, table, PLAYER_DAMAGE_STATS)
+
+
+def csv_decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the decoder keeps aside: the damaged lines, whole."""
+    kills = kills_view(spark, sf_dir)
+    decoded = decode_csv(damaged_lines(kills), kills.schema, corrupt_col="corrupt")
+    return decoded.select("corrupt").where(F.col("corrupt").isNotNull())
 
 
 STAGED_QUERIES = {
@@ -104,6 +158,11 @@ STAGED_QUERIES = {
     "raw_lines": raw_lines,
     "roster_lines": roster_lines,
     "backfill_player_stats": backfill_player_stats,
+    "kd_trend": kd_trend,
+    "player_totals": player_totals,
+    "retried_batches": retried_batches,
     "stream_kill_stats": stream_kill_stats,
+    "stream_kill_stats_per_file": stream_kill_stats_per_file,
     "stream_damage_stats": stream_damage_stats,
+    "csv_decode_quarantine": csv_decode_quarantine,
 }
