@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from fragstat.config import checkpoint_root
 from fragstat.llm.bpe import decode, encode
 from fragstat.llm.decontamination import find_overlaps
@@ -36,6 +34,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # the package of vocabulary files; the operator itself takes any path
+
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     both = decode(encode(docs, path), path)
