@@ -9,9 +9,8 @@ shingle of their *prefixes*, the first ``n - ceil(t n) + 1`` of n shingles.
    group is listed under those of its prefix shingles that other documents
    have as well.  Documents with a prefix of their own have no partner.
 3. Groups under a common shingle are candidates of each other.  They are
-   expanded to their members and gathered into *units*: a connected set of
-   candidates, or, where such a set is too large for a task, what lies under
-   one shingle, in pairs of blocks if that is too large as well.
+   expanded to their members and gathered into units that a task can hold
+   (:mod:`fragstat.llm.units`).
 4. In a unit, an inverted index over the whole sets counts what members have
    in common; pairs that may link and are not connected yet are verified, and
    only the links that connect are returned, never the pairs.
@@ -30,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fragstat.config import scratch_path
-from fragstat.llm.components import connected_components
 from fragstat.llm.packed import (
     add_up, bucket_bits, count_requests, distinct_counts, packed_table, squeeze_sorted, told, unsqueeze_sorted, with_answers)
-from fragstat.llm.tokens import coded, flat, hashes, ngrams, spread, words
+from fragstat.llm.tokens import coded, flat, hashes, ngrams, words
+from fragstat.llm.units import Forest, Index, connected_members
 
 #: Words of a shingle, and similarity in hundredths.
 WORDS, PERCENT = 5, 80
@@ -115,72 +114,19 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def connected_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the number of the first one that it is connected with by
     links (pairs of sets that are similar enough)."""
-    n = len(sets)
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, tokens, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(n), sizes)
-    by_token = np.argsort(tokens, kind="stable")
-    posting, first = owner[by_token], np.cumsum(often) - often
-    ends = np.cumsum(sizes)
-    for i in range(n):
-        mine = tokens[ends[i] - sizes[i]:ends[i]]
-        order = np.lexsort((mine, often[mine]))  # rarest in the unit first
-        prefix = mine[order[:prefix_length(int(sizes[i]), percent)]]
-        prefix = prefix[often[prefix] > 1]
-        near = np.unique(posting[spread(first[prefix], often[prefix])])
-        own = find(i)
-        if all(find(j) == own for j in near.tolist()):
+    index, forest = Index(sets), Forest(len(sets))
+    for i, size in enumerate(index.sizes.tolist()):
+        mine = index.of(i)
+        order = np.lexsort((mine, index.often[mine]))  # rarest in the unit first
+        prefix = mine[order[:prefix_length(size, percent)]]
+        near = np.unique(index.holders(prefix[index.often[prefix] > 1]))
+        own = forest.find(i)
+        if all(forest.find(j) == own for j in near.tolist()):
             continue
-        common = np.bincount(posting[spread(first[mine], often[mine])], minlength=n)[near]
-        for j in near[100 * common >= percent * (sizes[i] + sizes[near] - common)].tolist():
-            a, b = sorted((find(i), find(j)))
-            root[b] = a
-    return np.array([find(i) for i in range(n)], np.int64)
-
-
-def _units(rows: DataFrame, unit: int) -> tuple[DataFrame, bool]:
-    """``unit, i, j, member``: which members are compared with each other, and
-    whether some unit has been split.  ``rows`` are (token, member)."""
-    tokens = rows.groupBy("token").agg(F.min("member").alias("lead"), F.max("member").alias("last"))
-    shared = rows.join(tokens.where("lead != last").select("token", "lead"), "token").checkpoint()
-    parts = connected_components(shared.select("member", "lead").distinct(), "member", "lead").checkpoint()
-    sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    sized = parts.join(sizes, "root").withColumnRenamed("node", "member")
-    whole = sized.where(F.col("n") <= unit).select(F.col("root").alias("unit"), "member", F.lit(1).alias("blocks"))
-    large = sized.where(F.col("n") > unit).select("member")
-    if not large.limit(1).count():
-        return whole.select("unit", F.lit(0).alias("i"), F.lit(0).alias("j"), "member"), False
-    split = shared.join(large, "member").select("token", "member")
-    counts = split.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    split = split.join(counts, "token").select(
-        F.col("token").cast("string").cast("binary").alias("unit"), "member",
-        F.ceil(F.col("n") / unit).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
-    paired = (
-        whole.unionByName(split).withColumn("b", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("unit", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "member")
-    )
-    return paired, True
-
-
-def _connected(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``node, root`` links that connect the members of each unit."""
-    def connect(unit: pa.Table) -> pa.Table:
-        unit = unit.sort_by("member")
-        first = connected_sets([unsqueeze_sorted(k) for k in unit.column("keys").to_pylist()], percent)
-        some = np.flatnonzero(first != np.arange(len(first)))
-        member = unit.column("member")
-        return pa.table({"node": member.take(pa.array(some)), "root": member.take(pa.array(first[some]))})
-    return units.join(sets, "member").groupBy("unit", "i", "j").applyInArrow(connect, "node binary, root binary")
+        common = index.common(i)[near]
+        for j in near[100 * common >= percent * (size + index.sizes[near] - common)].tolist():
+            forest.join(i, j)
+    return forest.roots()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS,
@@ -202,12 +148,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = listed.groupBy("member").agg(F.first("keys").alias("keys"))
     listings = listed.groupBy("grp").agg(F.first("tokens").alias("tokens")).select(
         "grp", F.explode("tokens").alias("token"))
-    units, split = _units(listings.join(members, "grp").select("token", "member"), unit)
-    links = _connected(units, sets, percent).checkpoint()
-    if split:
-        parts = connected_components(links, "node", "root")
-    else:  # units have no member in common, so their links are stars already
-        parts = links.unionByName(links.select(F.col("root").alias("node"), "root").distinct())
+    parts = connected_members(
+        listings.join(members, "grp").select("token", "member"), sets,
+        lambda rows: connected_sets([unsqueeze_sorted(k) for k in rows.column("keys").to_pylist()], percent), unit)
 
     roots = profiles.where(F.col("member").isNotNull()).groupBy("member").agg(F.min("id").alias("least")).join(
         parts.withColumnRenamed("node", "member"), "member", "left").select(
