@@ -99,7 +99,9 @@ def write_jdbc(
     ``batch_size`` sets rows per insert round trip.
     """
     rows = jdbc_ready(stamp(df, batch_id))
-    writer = rows.write.mode("append").option("createTableColumnTypes", column_types(rows.schema))
+    writer = rows.write.mode("append")
+    if types := column_types(rows.schema):
+        writer = writer.option("createTableColumnTypes", types)
     if num_partitions:
         writer = writer.option("numPartitions", str(num_partitions))
     if batch_size:

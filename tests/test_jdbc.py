@@ -2,7 +2,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DateType, DecimalType, Do
                                IntegerType, LongType, MapType, StringType, TimestampType)
 
 from fragstat.schemas import PLAYER_STATS
-from fragstat.sinks.jdbc import create_table_ddl, jdbc_ready, sql_type
+from fragstat.sinks.jdbc import column_types, create_table_ddl, jdbc_ready, sql_type
 from fragstat.sinks.table import stamp
 
 
@@ -45,3 +45,11 @@ def test_write_jdbc_reaches_the_driver_lookup(spark):
     with pytest.raises(Exception, match="MissingDriver"):
         read_jdbc(spark, "jdbc:example://nowhere/db", "player_stats", props,
                   partition_column="batch_id", lower_bound=0, upper_bound=10, num_partitions=4)
+
+
+def test_column_types_are_those_that_spark_parses(spark):
+    from fragstat.schemas import PLAYER_STATS
+
+    assert column_types(PLAYER_STATS) == (
+        "player_id BIGINT, kills BIGINT, deaths BIGINT, assists BIGINT, timestamp_seconds BIGINT")
+    spark.createDataFrame([], column_types(PLAYER_STATS))  # Spark's own parser takes them
