@@ -114,6 +114,9 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def connected_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the number of the first one that it is connected with by
     links (pairs of sets that are similar enough)."""
+    if len(sets) == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        return np.array([0, 100 * common < percent * (len(sets[0]) + len(sets[1]) - common)], np.int64)
     index, forest = Index(sets), Forest(len(sets))
     for i, size in enumerate(index.sizes.tolist()):
         mine = index.of(i)
@@ -148,9 +151,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = listed.groupBy("member").agg(F.first("keys").alias("keys"))
     listings = listed.groupBy("grp").agg(F.first("tokens").alias("tokens")).select(
         "grp", F.explode("tokens").alias("token"))
-    parts = connected_members(
-        listings.join(members, "grp").select("token", "member"), sets,
-        lambda rows: connected_sets([unsqueeze_sorted(k) for k in rows.column("keys").to_pylist()], percent), unit)
+
+    def connect(rows: pa.Table, edges: np.ndarray) -> np.ndarray:
+        keys = rows.column("keys").combine_chunks()
+        return np.concatenate([a + connected_sets([unsqueeze_sorted(k.as_py()) for k in keys[a:b]], percent)
+                               for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())])
+    parts = connected_members(listings.join(members, "grp").select("token", "member"), sets, connect, unit)
 
     roots = profiles.where(F.col("member").isNotNull()).groupBy("member").agg(F.min("id").alias("least")).join(
         parts.withColumnRenamed("node", "member"), "member", "left").select(

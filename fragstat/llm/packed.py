@@ -26,7 +26,6 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fragstat.config import scratch_path
 

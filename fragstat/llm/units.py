@@ -96,22 +96,29 @@ def units_of(rows: DataFrame, size: int) -> tuple[DataFrame, bool]:
     return paired, True
 
 
-def connected_members(rows: DataFrame, members: DataFrame, connect: Callable[[pa.Table], np.ndarray],
-                      size: int) -> DataFrame:
+def connected_members(rows: DataFrame, members: DataFrame,
+                      connect: Callable[[pa.Table, np.ndarray], np.ndarray], size: int) -> DataFrame:
     """``node, root`` for every member that is linked with another one.
 
-    ``rows`` are (``token``, ``member``), ``members`` holds each member once,
-    with what ``connect`` needs: it gets the rows of a unit, sorted by member,
-    and returns for each the number of the first one that it is connected with.
+    ``rows`` are (``token``, ``member``); ``members`` holds each member once,
+    with what ``connect`` needs.  Most units are tiny, so a task gets many at a
+    time: ``connect(table, edges)`` finds unit k in the rows from ``edges[k]`` up
+    to ``edges[k + 1]``, sorted by member, and returns for each row the row of
+    the first one of its unit that it is connected with.
     """
-    def links(unit: pa.Table) -> pa.Table:
-        unit = unit.sort_by("member")
-        first = connect(unit)
+    def links(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("unit", "ascending"), ("i", "ascending"), ("j", "ascending"), ("member", "ascending")])
+        unit = table.column("unit").combine_chunks().dictionary_encode().indices.to_numpy()
+        ids = np.stack([unit, table.column("i").to_numpy(), table.column("j").to_numpy()], 1)
+        begins = np.flatnonzero(np.concatenate(([True], np.any(ids[1:] != ids[:-1], axis=1))))
+        first = connect(table, np.append(begins, len(ids)))
         some = np.flatnonzero(first != np.arange(len(first)))
-        member = unit.column("member")
+        member = table.column("member")
         return pa.table({"node": member.take(pa.array(some)), "root": member.take(pa.array(first[some]))})
     units, split = units_of(rows, size)
-    found = units.join(members, "member").groupBy("unit", "i", "j").applyInArrow(links, LINKS).checkpoint()
+    slots = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = units.join(members, "member").withColumn("slot", F.pmod(F.xxhash64("unit", "i", "j"), F.lit(slots)))
+    found = dealt.groupBy("slot").applyInArrow(links, LINKS).checkpoint()
     if split:
         return connected_components(found, "node", "root")
     # Units have no member in common, so their links are stars already.
