@@ -64,8 +64,10 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE)
     begins[firsts] = keep[firsts]  # a text begins a word whatever the one before ends with
     starts = np.flatnonzero(begins)
     counts = np.diff(np.searchsorted(starts, offsets))
-    solid = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))
-    return binary(LOWER[data[keep]], np.append(solid[starts], solid[-1])), counts
+    # Where each word's bytes begin once the separators are gone.
+    solid = np.cumsum(keep, dtype=np.int32 if len(keep) < 1 << 31 else np.int64)
+    ends = np.append(solid[starts] - 1, solid[-1:]) if len(starts) else np.zeros(1, np.int64)
+    return binary(LOWER[data[keep]], ends), counts
 
 
 def hashes(values: pa.Array) -> np.ndarray:
