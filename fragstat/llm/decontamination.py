@@ -193,8 +193,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             kind = pa.list_(pa.struct([("item", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
                                        ("item_start", pa.int32()), ("matches", pa.int32())]))
             for batch in batches:
-                for begin in range(0, batch.num_rows, 500):
-                    part = batch.slice(begin, 500)
+                for begin in range(0, batch.num_rows, 250):
+                    part = batch.slice(begin, 250)
                     rows = [old + [dict(zip(("item", "start", "end", "item_start", "matches"), x)) for x in new]
                             for old, new in zip(part.column(out).to_pylist(),
                                                 overlaps(pc.fill_null(part.column(text_col), ""), shared.value))]
