@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
-from brute import components
+from llm.brute import components
 
 from fragstat.llm.components import connected_components
 from fragstat.llm.packed import (add_up, bucket_bits, count_requests, distinct_counts, from_payload, packed_table, squeeze,

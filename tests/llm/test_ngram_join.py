@@ -1,7 +1,7 @@
 import random
 import re
 
-from brute import components
+from llm.brute import components
 
 from fragstat.llm.ngram_join import keep_one, near_duplicates, prefix_length
 
