@@ -26,8 +26,11 @@ from pyspark.sql import types as T
 
 from fragstat.llm.tokens import coded, flat, hashes, mixed, segments, spread, words
 
-#: The masks (fixed values).  Items shorter than a mask have one seed, all their tokens.
-MASKS = ("11111", "1101011", "1011101", "110100111")
+#: The masks (fixed values).  Of 13 tokens or more with at most 20 % substituted, four in a row are the same, or,
+#: with 3 of 15, three on both sides of a substituted one; so too for items of 4, 8, 9, 11 and 12 tokens.
+MASKS = ("1111", "1110111")
+#: For items of other sizes: what is the same in a row, however the substituted tokens lie.
+SHORT_MASKS = {1: "1", 2: "11", 3: "111", 5: "11", 6: "111", 7: "111", 10: "111"}
 #: An overlap counts from so many tokens on, or the whole item if that is shorter ...
 MIN_TOKENS = 13
 #: ... if at least this share of its tokens, in hundredths, is the same.
@@ -51,15 +54,11 @@ class Block:
     span: np.ndarray  # tokens that the seed covers
     vocabulary: np.ndarray  # sorted distinct tokens
 
-    @property
-    def spans(self) -> np.ndarray:
-        return np.unique(self.span)
 
-
-def _masks(span: int) -> list[np.ndarray]:
-    """The masks of that many tokens, as the places they look at."""
-    own = [np.flatnonzero(np.array(list(m)) == "1") for m in MASKS if len(m) == span]
-    return own or [np.arange(span)]
+def _masks() -> list[tuple[np.ndarray, int, list[int] | None]]:
+    """Each mask as the places it looks at, with its span and the sizes of the items that it is for (none: all)."""
+    short = [(m, [n for n, own in SHORT_MASKS.items() if own == m]) for m in sorted(set(SHORT_MASKS.values()))]
+    return [(np.flatnonzero(np.array(list(m)) == "1"), len(m), sizes) for m, sizes in [*short, *((m, None) for m in MASKS)]]
 
 
 def _seeds(tokens: np.ndarray, starts: np.ndarray, places: np.ndarray, number: int) -> np.ndarray:
@@ -69,10 +68,12 @@ def _seeds(tokens: np.ndarray, starts: np.ndarray, places: np.ndarray, number: i
     return result
 
 
-def _runs(lengths: np.ndarray, span: int, only: bool) -> np.ndarray:
-    """Where a seed of that span may begin in texts of these lengths."""
+def _runs(lengths: np.ndarray, span: int, sizes: list[int] | None = None) -> np.ndarray:
+    """Where a seed of that span may begin in texts of these lengths (only those of the given sizes)."""
     ends = np.cumsum(lengths)
-    many = np.where(lengths == span, 1, 0) if only else np.maximum(lengths - span + 1, 0)
+    many = np.maximum(lengths - span + 1, 0)
+    if sizes is not None:
+        many[~np.isin(lengths, sizes)] = 0
     return spread(ends - lengths, many)
 
 
@@ -80,12 +81,10 @@ def make_block(ids: np.ndarray, texts: pa.Array) -> Block:
     tokens, lengths = words(*flat(texts))
     codes, distinct = coded(tokens)
     tokens = hashes(distinct)[codes]
-    shortest = min(map(len, MASKS))
     found = []
-    for span in sorted({len(m) for m in MASKS} | set(range(1, shortest))):
-        starts = _runs(lengths, span, span < shortest)
-        for number, places in enumerate(_masks(span)):
-            found.append((_seeds(tokens, starts, places, 100 * span + number), starts, np.full(len(starts), span)))
+    for number, (places, span, sizes) in enumerate(_masks()):
+        starts = _runs(lengths, span, sizes)
+        found.append((_seeds(tokens, starts, places, number), starts, np.full(len(starts), span)))
     seeds, place, span = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(seeds, kind="stable")
     return Block(ids, np.concatenate(([0], np.cumsum(lengths))), tokens, seeds[order], place[order], span[order],
@@ -106,19 +105,17 @@ def overlaps(texts: pa.Array, block: Block) -> list[list[tuple]]:
     firsts = np.cumsum(lengths) - lengths
     text = segments(lengths)
     hits = []
-    for span in block.spans.tolist():
-        begins = _runs(lengths, span, False)
-        for number, places in enumerate(_masks(span)):
-            starts = begins
-            for place in places:  # words that no item has end the search early
-                starts = starts[known[starts + place]]
-            seeds = _seeds(tokens, starts, places, 100 * span + number)
-            lo, hi = np.searchsorted(block.seeds, seeds, "left"), np.searchsorted(block.seeds, seeds, "right")
-            many = hi - lo
-            where = spread(lo, many)
-            fits = block.span[where] == span
-            hits.append(np.stack([np.repeat(starts, many)[fits], block.place[where][fits],
-                                  np.full(np.count_nonzero(fits), span)], 1))
+    for number, (places, span, _) in enumerate(_masks()):
+        starts = _runs(lengths, span)
+        for place in places:  # words that no item has end the search early
+            starts = starts[known[starts + place]]
+        seeds = _seeds(tokens, starts, places, number)
+        lo, hi = np.searchsorted(block.seeds, seeds, "left"), np.searchsorted(block.seeds, seeds, "right")
+        many = hi - lo
+        where = spread(lo, many)
+        fits = block.span[where] == span
+        hits.append(np.stack([np.repeat(starts, many)[fits], block.place[where][fits],
+                              np.full(np.count_nonzero(fits), span)], 1))
     hits = np.concatenate(hits)
     if not len(hits):
         return result
@@ -131,9 +128,11 @@ def overlaps(texts: pa.Array, block: Block) -> list[list[tuple]]:
         first, size = int(firsts[number]), int(lengths[number])
         begin = max(int(block.starts[which]), first - shift)
         end = min(int(block.starts[which + 1]), first + size - shift)
-        same = block.tokens[begin:end] == tokens[begin + shift:end + shift]
         need = min(MIN_TOKENS, int(block.starts[which + 1] - block.starts[which]))
-        best = _best_run(same, group[:, 3] - begin, group[:, 4], need)
+        if end - begin < need:
+            continue
+        same = block.tokens[begin:end] == tokens[begin + shift:end + shift]
+        best = _longest_window(same, group[:, 3] - begin, group[:, 4], need)
         if best:
             a, b, matches = best
             result[number].append((int(block.items[which]), begin + a + shift - first, begin + b + shift - first,
@@ -141,23 +140,23 @@ def overlaps(texts: pa.Array, block: Block) -> list[list[tuple]]:
     return result
 
 
-def _best_run(same: np.ndarray, hits: np.ndarray, spans: np.ndarray, need: int) -> tuple[int, int, int] | None:
-    """Of the runs around the hits, the longest that is long and similar enough.
+def _longest_window(same: np.ndarray, hits: np.ndarray, spans: np.ndarray, need: int) -> tuple[int, int, int] | None:
+    """The longest window that holds a hit and is long and similar enough; the first of equally long ones.
 
-    From a hit, a run goes as far to both sides as the sum over its tokens,
-    ``100 - PERCENT`` for a match and ``-PERCENT`` for another, is largest.
+    With ``100 - PERCENT`` for a match and ``-PERCENT`` for another token, a
+    window is similar enough if its sum is not negative.
     """
     score = np.concatenate(([0], np.cumsum(np.where(same, 100 - PERCENT, -PERCENT))))
-    count = np.concatenate(([0], np.cumsum(same)))
-    best = None
-    for hit, span in zip(hits.tolist(), spans.tolist()):
-        a = int(np.argmin(score[:hit + 1]))
-        rest = score[hit + span:]
-        b = hit + span + len(rest) - 1 - int(np.argmax(rest[::-1]))
-        matches = int(count[b] - count[a])
-        if b - a >= need and 100 * matches >= PERCENT * (b - a) and (best is None or b - a > best[1] - best[0]):
-            best = a, b, matches
-    return best
+    # For each end the first begin from where the sum is not negative, and where the last hit before it begins.
+    begin = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
+    last = np.full(len(score), -1)
+    np.maximum.at(last, hits + spans, hits)
+    size = np.where(np.maximum.accumulate(last) >= begin, np.arange(len(score)) - begin, 0)
+    b = int(np.argmax(size))
+    if size[b] < need:
+        return None
+    a = int(begin[b])
+    return a, b, int(np.count_nonzero(same[a:b]))
 
 
 def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Block]:

@@ -1,6 +1,10 @@
+import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from fragstat.llm.decontamination import MASKS, MIN_TOKENS, PERCENT, decontaminate, find_overlaps
 
 import fragstat.llm.decontamination as module
@@ -102,3 +106,43 @@ def test_awkward_rows_and_empty_tables(spark, awkward, nothing):
     assert find_overlaps(nothing, benchmark).collect() == []
     assert all(not r.overlaps for r in find_overlaps(awkward, benchmark.where("false")).collect())
     assert decontaminate(awkward, benchmark).columns == awkward.columns
+
+
+def every_window(text, items):
+    """The longest window of each alignment that is long and similar enough, without any seeds."""
+    t, out = split(text), []
+    for number, item in items:
+        w = split(item or "")
+        need = min(MIN_TOKENS, len(w))
+        if number is None or not w:
+            continue
+        for shift in range(-len(w) + 1, len(t)):
+            lo, hi = max(0, -shift), min(len(w), len(t) - shift)
+            same = [w[i] == t[i + shift] for i in range(lo, hi)]
+            best = max(((b - a, -b) for a in range(len(same)) for b in range(a + need, len(same) + 1)
+                        if 100 * sum(same[a:b]) >= PERCENT * (b - a)), default=None)
+            if best:
+                size, b = best[0], -best[1]
+                out.append((number, lo + b - size + shift, lo + b + shift, lo + b - size, sum(same[b - size:b])))
+    return sorted(out)
+
+
+def test_every_placement_of_substitutions_is_found():
+    for size in range(1, 21):
+        item = [f"w{i}" for i in range(size)]
+        block = module.make_block(np.array([7]), pa.array([" ".join(item)], pa.large_string()))
+        texts = []
+        for many in range(size // 5 + 1):
+            for places in itertools.combinations(range(size), many):
+                texts.append(" ".join(["before", *("other" if i in places else w for i, w in enumerate(item)), "after"]))
+        found = module.overlaps(pa.array(texts, pa.large_string()), block)
+        assert all(found), (size, [t for t, f in zip(texts, found) if not f][:3])
+
+
+def test_against_every_window(spark, docs_of):
+    for seed in (1, 4):
+        items, texts = corpus(seed)
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        got = {r.doc_id: sorted(map(tuple, r.overlaps)) for r in find_overlaps(docs_of(texts), benchmark).collect()}
+        for i, text in enumerate(texts):
+            assert got[i] == sorted(set(every_window(text, items))), i
