@@ -12,11 +12,14 @@ from fragstat.llm.exact_dedup import exact_groups
 from fragstat.llm.line_dedup import dedup_lines
 from fragstat.llm.lm_scoring import lm_scores
 from fragstat.llm.ngram_join import near_duplicates
+from fragstat.llm.periodic_runs import periodic_runs
 from fragstat.llm.sharding import record_size, shard_documents
 from fragstat.llm.shipping import ship
+from fragstat.llm.substring_dedup import remove_repeated_passages
 from fragstat.llm.suffix_dedup import repeated_spans
 from fragstat.llm.toxicity import fit, with_scores
 from fragstat.llm.url_filters import judge_urls, rules_frame
+from fragstat.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -187,6 +190,103 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("longest_words"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return remove_repeated_passages(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 48),
+    lambda i: {'i': i, 'k': sha256(array_to_string(w[i:i + 49], ' '))}), recursive := true)
+  FROM d WHERE len(w) >= 50),
+m AS (SELECT k, min(doc_id) AS least FROM k GROUP BY k),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM k JOIN m USING (k) WHERE least < doc_id),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+r AS (
+  SELECT p.doc_id, count(c.i) AS n_removed, string_agg(x, ' ' ORDER BY p.i) FILTER (c.i IS NULL) AS kept
+  FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.i = c.i GROUP BY p.doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=4)
+
+
+#: A word, as the operators cut them.
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The texts that op13 is asked about: where h, the CRC-32 of the id's digits, ends
+    in 0, each word from ``a`` on gives way to word ``a + (i - a) % p``; other rows stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.call_function("div", h, F.lit(10))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    n = F.size(words).cast("long")
+    a = F.when(n > 0, g % F.greatest(n, F.lit(1))).otherwise(0)
+    times = 3 + g % 8
+    p = 1 + F.call_function("div", n - a, times)
+    block = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    longer = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.flatten(F.array_repeat(block, times.cast("int"))))
+    tail = F.array_join(F.slice(longer, F.lit(1), n.cast("int")), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & F.col("text").isNotNull(), tail).otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periodic_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))),
+                                                   F.lit("\n")))
+    return periodic_runs(docs).withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"),
+        (-F.col("longest.less")).alias("length"), F.col("longest.period").alias("period"),
+        F.expr("(1000 * -longest.less) div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS o, {_CRC} AS h FROM documents),
+e AS (SELECT *, len(o) AS n, h // 10 AS g, CASE WHEN len(o) > 0 THEN h // 10 % len(o) ELSE 0 END AS a FROM d),
+t AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+    o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE o END AS w
+  FROM e),
+k AS (
+  SELECT doc_id, n, unnest(list_transform(range(n - 4),
+    lambda i: {{'i': i, 'k': array_to_string(w[i + 1:i + 5], ' ')}}), recursive := true)
+  FROM t WHERE n >= 5),
+pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q
+  FROM k AS a JOIN k AS b ON a.doc_id = b.doc_id AND a.k = b.k AND a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + 4 + q AS len
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS place FROM pairs)
+  GROUP BY doc_id, q, place HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches AS x WHERE NOT EXISTS (
+    FROM stretches AS y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.len >= x.s + x.len)),
+r AS (
+  SELECT doc_id, count(*) AS n_runs, max({{'l': len, 's': -s, 'q': -q}}) AS best,
+    string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed
+  FROM runs GROUP BY doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(n)) AS i FROM t),
+v AS (
+  SELECT p.doc_id, string_agg(x, ' ' ORDER BY p.i) AS kept
+  FROM p ANTI JOIN c ON p.doc_id = c.doc_id AND p.i = c.i GROUP BY p.doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, -best.s AS start, best.l AS length, -best.q AS period,
+  1000 * best.l // -best.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+  sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN r USING (doc_id) LEFT JOIN v USING (doc_id)
+"""
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
@@ -198,6 +298,9 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -205,4 +308,6 @@ ORACLE_SQL = {
     "op6_url_filters": OP6_SQL,
     "op7_ngram_join": OP7_SQL,
     "op8_lm_scoring": OP8_SQL,
+    "op11_substring_dedup": OP11_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
