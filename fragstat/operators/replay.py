@@ -13,11 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import checkpoint_root
 from ..functions.decode import encode_csv
-from ..functions.routing import DEFAULT_MS_PER_TICK, elapsed_seconds, topic_for_file
+from ..functions.routing import DEFAULT_MS_PER_TICK, elapsed_seconds, raw_field, topic_for_file
 from ..schemas import REPLAY_TIME_COLUMN
+from ..sources.lines import LINE_ORDER
 
 REPLAY_ORDER = ("tick", "file_name", "frame")
+# Of raw lines, whose place in the file is known (see ``sources.lines``).
+LINE_REPLAY_ORDER = ("tick", *LINE_ORDER)
 
 
 def route_topic(df: DataFrame, file_col: str = "file_name", topic_col: str = "topic") -> DataFrame:
@@ -98,3 +102,55 @@ def to_payload(
         message_key([c for c in key_cols if c in df.columns], F.col("_value")).alias("key"),
         F.col("_value").alias("value"),
     )
+
+
+def with_running_number(df: DataFrame, order: Sequence[str], number_col: str = "number",
+                        rows_per_partition: int = 2_000_000) -> DataFrame:
+    """The rows sorted by ``order`` and numbered 0, 1, ... along it.
+
+    No task sees all rows: the sort is range-partitioned, its result is
+    checkpointed (so that counting and numbering speak of the same partitions,
+    also when an executor is lost in between), each partition is counted, and a
+    row's number is the count of all partitions before its own plus its place
+    inside.  The driver holds one count for each partition.  Rows that are equal
+    get numbers of their own; where ``order`` leaves rows undecided, a hash of the
+    whole row decides first.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    ordered = replay_order(df, keys=tuple(order), rows_per_partition=rows_per_partition).checkpoint()
+    place = ordered.withColumn("_place", F.monotonically_increasing_id())
+    part = F.shiftright("_place", 33)
+    counts = place.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()
+    before, offsets = 0, []
+    for row in counts:
+        offsets.append((row["_part"], before))
+        before += row["n"]
+    table = spark.createDataFrame(offsets, "_part long, _before long")
+    numbered = place.withColumn("_part", part).join(F.broadcast(table), "_part")
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.select(*ordered.columns, (F.col("_before") + inside).alias(number_col))
+
+
+def replay_messages(lines: DataFrame, ms_per_tick: float = DEFAULT_MS_PER_TICK, rows_per_partition: int = 2_000_000) -> DataFrame:
+    """``number, topic, key, value`` of raw match-log lines (with their place, see
+    :func:`fragstat.sources.lines.read_numbered_lines`), in the order of a replay:
+    tick by tick, in each tick file by file, in each file line by line.
+
+    The tick is the second field of the line, the value the line as it is with the
+    replay clock's seconds appended, the key the running number of the message.  A
+    line without a tick (blank ones, say) cannot be replayed and gives no message;
+    :func:`unplayable_lines` has those.  A file whose ticks do not rise is sorted
+    by tick.
+    """
+    ticked = lines.withColumn("tick", raw_field("line", 1, "int")).where("tick IS NOT NULL")
+    numbered = with_running_number(ticked, LINE_REPLAY_ORDER, rows_per_partition=rows_per_partition)
+    seconds = elapsed_seconds("tick", ms_per_tick).cast("string")
+    return numbered.select(
+        "number", topic_for_file("file_name").alias("topic"), F.col("number").cast("string").alias("key"),
+        F.concat("line", F.lit(","), seconds).alias("value"))
+
+
+def unplayable_lines(lines: DataFrame) -> DataFrame:
+    """The lines that have no tick, with their place."""
+    return lines.where(raw_field("line", 1, "int").isNull())

@@ -331,6 +331,42 @@ SELECT {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line, tick
 FROM kills
 """
 
+# Both kinds' lines as they stand in the match files, with the blank lines between.
+LINE_FILES_CTE = f"""
+{KILLS_CTE}, {DAMAGES_CTE},
+event_lines AS (
+  SELECT match_checksum || '_kills.csv' AS file_name, tick, {_csv_line(_without_replay_time(KILL_COLUMNS_SQL))} AS line FROM kills
+  UNION ALL
+  SELECT match_checksum || '_damages.csv', tick, {_csv_line(_without_replay_time(DAMAGE_COLUMNS_SQL))} FROM damages
+),
+file_lines AS (
+  SELECT file_name, tick, md5(line) AS digest, 0 AS follows, line FROM event_lines
+  UNION ALL
+  SELECT file_name, tick, md5(line), 1, CASE WHEN tick % 3 = 0 THEN '' ELSE '  ' END FROM event_lines
+  WHERE tick % 3 = 0 OR tick % 5 = 0
+)"""
+
+NUMBERED_LINES = f"""
+WITH {LINE_FILES_CTE}
+SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY tick, digest, follows) - 1 AS line_number, line
+FROM file_lines
+"""
+
+REPLAY_NUMBERED = f"""
+WITH {LINE_FILES_CTE},
+played AS (
+  SELECT *, row_number() OVER (ORDER BY tick, file_name, digest) - 1 AS number FROM file_lines WHERE follows = 0
+)
+SELECT number, 'game.' || split_part(split_part(file_name, '_', 2), '.', 1) AS topic, CAST(number AS VARCHAR) AS key,
+       line || ',' || CAST((CAST(tick AS BIGINT) * 7) // 1000 AS VARCHAR) AS value
+FROM played
+"""
+
+REPLAY_UNPLAYABLE = f"""
+WITH {LINE_FILES_CTE}
+SELECT file_name, line, COUNT(*) AS n_lines FROM file_lines WHERE follows = 1 GROUP BY file_name, line
+"""
+
 ROSTER_LINES = "SELECT CAST(s_suppkey AS VARCHAR) || ',' || s_name AS line FROM supplier"
 
 STREAM_KILL_STATS = f"""
@@ -365,6 +401,9 @@ ORACLE_SQL.update({
     "backfill_player_stats": PLAYER_STATS_SNAPSHOTS,
     "match_log_kills": MATCH_LOG_KILLS,
     "raw_lines": RAW_LINES,
+    "numbered_lines": NUMBERED_LINES,
+    "replay_numbered": REPLAY_NUMBERED,
+    "replay_unplayable": REPLAY_UNPLAYABLE,
     "roster_lines": ROSTER_LINES,
     "stream_kill_stats": STREAM_KILL_STATS,
     "stream_damage_stats": STREAM_DAMAGE_STATS,

@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import scratch_path
-from ..functions.decode import decode_csv
+from ..functions.decode import decode_csv, encode_csv
 from ..functions.routing import raw_field
 from ..operators import dashboards as dash
 from ..operators.kill_stats import player_stats_snapshots
-from ..operators.replay import to_payload
-from ..schemas import KILLS_TOPIC, PLAYER_DAMAGE_STATS, PLAYER_STATS
-from ..sinks.matchlog import WRITTEN_FILES, write_match_logs
+from ..operators.replay import replay_messages, to_payload, unplayable_lines
+from ..schemas import KILLS_TOPIC, PLAYER_DAMAGE_STATS, PLAYER_STATS, REPLAY_TIME_COLUMN
+from ..sinks.matchlog import WRITTEN_FILES, write_match_logs, write_ordered_lines
 from ..sinks.table import BATCH_COLUMN, RECORDED_AT, read_result_table, table_sink, write_batches
 from ..sinks.topic import append_topic_log
 from ..sources.files import read_lines, read_match_logs, read_roster
+from ..sources.lines import read_numbered_lines, with_line_numbers
 from ..sources.testviews import damages_view, kills_view, read_table
 from ..sources.topic import decode_events, read_topic_log
 from ..streaming.jobs import start_damage_stats, start_kill_stats
@@ -48,6 +49,46 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("line", raw_field("line", 1, "int").alias("tick"))
 
 
+def line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines of both event kinds with the match file that each belongs to and
+    its place there (by tick, then by a digest of the line).  Lines of every 3rd
+    tick are followed by empty lines, of every 5th by lines of blanks."""
+    parts = []
+    for kind, events in (("kills", kills_view(spark, sf_dir)), ("damages", damages_view(spark, sf_dir))):
+        cols = [c for c in events.columns if c != REPLAY_TIME_COLUMN]
+        parts.append(events.select(
+            F.concat("match_checksum", F.lit(f"_{kind}.csv")).alias("file_name"), "tick", encode_csv(cols).alias("line")))
+    lines = parts[0].unionByName(parts[1]).withColumn("digest", F.md5("line"))
+    blank = F.when(F.col("tick") % 3 == 0, F.lit("")).when(F.col("tick") % 5 == 0, F.lit("  "))
+    both = F.array(F.struct(F.lit(0).alias("follows"), "line"), F.struct(F.lit(1).alias("follows"), blank.alias("line")))
+    return lines.select("file_name", "tick", "digest", F.inline(both)).where("line IS NOT NULL")
+
+
+def stage_line_files(spark: SparkSession, sf_dir: str) -> str:
+    folder = scratch_path(spark, "matchlogs", "ordered")
+    write_ordered_lines(line_files(spark, sf_dir), folder, "frame,tick,round", ("tick", "digest", "follows"),
+                        lines_per_part=20_000)
+    return folder
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of both kinds' match files, blank ones too, with its number in
+    its file."""
+    lines = read_numbered_lines(spark, stage_line_files(spark, sf_dir))
+    return with_line_numbers(lines).select("file_name", "line_number", "line")
+
+
+def replay_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replay of both kinds' match files as numbered messages."""
+    return replay_messages(read_numbered_lines(spark, stage_line_files(spark, sf_dir)))
+
+
+def replay_unplayable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of each file the replay cannot send."""
+    lines = read_numbered_lines(spark, stage_line_files(spark, sf_dir))
+    return unplayable_lines(lines).groupBy("file_name", "line").agg(F.count("*").alias("n_lines"))
+
+
 def roster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of roster files: ``steamid,name`` per supplier row."""
     folder = scratch_path(spark, "matchlogs", "players")
@@ -156,6 +197,9 @@ def csv_decode_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGED_QUERIES = {
     "match_log_kills": match_log_kills,
     "raw_lines": raw_lines,
+    "numbered_lines": numbered_lines,
+    "replay_numbered": replay_numbered,
+    "replay_unplayable": replay_unplayable,
     "roster_lines": roster_lines,
     "backfill_player_stats": backfill_player_stats,
     "kd_trend": kd_trend,

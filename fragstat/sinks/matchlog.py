@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.decode import ENCODE_OPTIONS
+from ..operators.replay import with_running_number
 from ..schemas import REPLAY_TIME_COLUMN
 
 WRITTEN_FILES = "*.csv"
@@ -42,3 +43,26 @@ def write_match_logs(df: DataFrame, folder: str, max_records_per_file: int | Non
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(folder)
+
+
+def write_ordered_lines(lines: DataFrame, folder: str, header: str, order: tuple[str, ...],
+                        file_col: str = "file_name", line_col: str = "line", lines_per_part: int = 1_000_000) -> None:
+    """Write raw lines as match-log files into the new folder ``folder``: a folder
+    for each value of ``file_col``, in which the lines stand in ``order`` under
+    the ``header``.  Read them with :mod:`fragstat.sources.lines`.
+
+    Blank lines are written as they are.  The lines are numbered along the order,
+    and every ``lines_per_part`` of them a new part begins (with a header of its
+    own), so no task holds more of a file, however large it is.
+    """
+    numbered = with_running_number(
+        lines.select(F.col(file_col).alias("_file"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
+                     F.col(line_col).alias("_line")),
+        ["_file", *(f"_order{i}" for i in range(len(order)))], "_number")
+    part = F.lpad(F.call_function("div", "_number", F.lit(lines_per_part).cast("long")).cast("string"), 12, "0")
+    rows = numbered.select(F.col("_file").alias("file"), part.alias("chunk"), "_number", F.col("_line").alias("value"))
+    heads = rows.select("file", "chunk").distinct().select(
+        "file", "chunk", F.lit(-1).cast("long").alias("_number"), F.lit(header).alias("value"))
+    keys = ["file", "chunk"]
+    placed = rows.unionByName(heads).repartition(*keys).sortWithinPartitions(*keys, "_number")
+    placed.select("value", *keys).write.mode("errorifexists").partitionBy(*keys).text(folder)

@@ -19,11 +19,9 @@ from ..functions.decode import with_damage_dealt
 from ..functions.routing import DEFAULT_MS_PER_TICK
 from ..operators.replay import route_topic, with_elapsed_seconds
 from ..schemas import EVENT_SCHEMAS, file_schema
+from .lines import read_numbered_lines
 
 LINE_SCHEMA = StructType([StructField("line", StringType(), True)])
-# With this field the CSV reader keeps the whole text of a line that it would cut.
-RAW_LINE = "_raw"
-RAW_LINE_SCHEMA = StructType([*LINE_SCHEMA.fields, StructField(RAW_LINE, StringType(), True)])
 
 
 def name_glob(kind: str) -> str:
@@ -71,28 +69,14 @@ def read_match_logs(
 
 
 def read_lines(spark: SparkSession, path: str, glob: str | None = None, with_file: bool = False) -> DataFrame:
-    """Raw lines of CSV files, unparsed, without each file's first line.
+    """Raw lines of CSV files, unparsed and whole, without each file's first line.
 
-    Uses the CSV reader with quoting off and an unused separator, so every
-    line is one string field and the header is dropped per file.  Empty and
-    header-only files give no rows.  Row order across splits is not promised.
-    A line that holds the separator character U+0001 is a corrupt record to
-    the CSV reader, which hands it over whole.  A known difference from a
-    plain line reader: lines of nothing but blanks and control characters give no row, as the
-    CSV reader skips them.
+    Every other line comes back, blank ones too.  Empty and header-only files
+    give no rows.  Row order is not promised; :func:`read_numbered_lines` also
+    gives each line's place.
     """
-    reader = (
-        spark.read.schema(RAW_LINE_SCHEMA)
-        .option("columnNameOfCorruptRecord", RAW_LINE)
-        .option("header", True)
-        .option("sep", "\u0001")
-        .option("quote", "")
-    )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
-    source = [F.col("_metadata.file_name").alias("file_name")] if with_file else []
-    return df.select(F.coalesce(RAW_LINE, "line").alias("line"), *source)
+    df = read_numbered_lines(spark, path, glob)
+    return df.select("line", *(["file_name"] if with_file else []))
 
 
 def read_roster(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
