@@ -63,6 +63,35 @@ def player_damage_stats(
     )
 
 
+def player_damage_sketches(damages: DataFrame, by: Sequence[str] = (), round_col: str = "round", lg_k: int = 12) -> DataFrame:
+    """Per attacker ``total_damage`` and ``rounds_sketch``, a mergeable sketch of the
+    rounds: what a batch stores so that rounds can be counted over many batches.
+
+    Sums of ``rounds`` over batches count a round once for each batch it reaches
+    into; sketches do not.  A sketch of ``2 ** lg_k`` registers has a relative error of about
+    ``1.04 / 2 ** (lg_k / 2)`` (1.6 % at 12) and is practically exact up to
+    ``2 ** (lg_k - 3)`` rounds (512 at 12), below which it keeps the values' hashes.
+    """
+    by = list(by)
+    if "damage_dealt" not in damages.columns:
+        damages = damages.withColumn("damage_dealt", damage_dealt())
+    return damages.groupBy(*by, F.col("attacker_steamid").alias("player_id")).agg(
+        F.sum("damage_dealt").alias("total_damage"), F.hll_sketch_agg(round_col, lg_k).alias("rounds_sketch"))
+
+
+def merged_damage_stats(sketches: DataFrame) -> DataFrame:
+    """The damage statistics over all stored batches: sums of damage, rounds of the
+    merged sketches.  Partial merges on the map side; one row per player is shuffled
+    for each task."""
+    return (
+        sketches.groupBy("player_id")
+        .agg(F.sum("total_damage").alias("total_damage"),
+             F.hll_sketch_estimate(F.hll_union_agg("rounds_sketch")).alias("rounds"))
+        .withColumn("damage_per_round", damage_per_round())
+        .select(*OUTPUT_COLUMNS)
+    )
+
+
 def damage_dealt_rows(damages: DataFrame, keep: Sequence[str] = ("tick", "round", "attacker_steamid")) -> DataFrame:
     """The derived per-row column with the given identifying columns."""
     return damages.select(*keep, damage_dealt().alias("damage_dealt"))

@@ -394,7 +394,33 @@ SELECT CASE WHEN killer_steamid IS NULL THEN array_to_string(string_split(line,
 FROM lines WHERE killer_steamid IS NULL OR headshot = 1
 """
 
+# Both streams' tables, side by side.
+STREAM_MATCH_STATS = f"""
+WITH {KILLS_CTE}, {DAMAGES_CTE},
+{_kill_stats_sql()},
+damage AS (
+  SELECT attacker_steamid AS player_id, CAST(SUM(victim_health - victim_new_health) AS BIGINT) AS total_damage,
+         COUNT(DISTINCT round) AS rounds
+  FROM damages GROUP BY attacker_steamid
+)
+SELECT coalesce(s.player_id, d.player_id) AS player_id, player_name, kills, deaths, assists, total_damage, rounds
+FROM stats AS s FULL JOIN damage AS d ON s.player_id IS NOT DISTINCT FROM d.player_id
+"""
+
+# What the quarantine lets through.
+STREAM_QUARANTINE_GOOD = f"""
+WITH {KILLS_CTE}
+SELECT * FROM kills WHERE NOT (killer_steamid IS NULL OR coalesce(headshot = 1, false))
+"""
+
 ORACLE_SQL.update({
+    "stream_restart": STREAM_KILL_STATS_PER_FILE,
+    "stream_match_stats": STREAM_MATCH_STATS,
+    "stream_quarantine_good": STREAM_QUARANTINE_GOOD,
+    "stream_quarantine_bad": CSV_DECODE_QUARANTINE,
+    "damage_rounds_over_batches": PLAYER_DAMAGE_STATS,
+    "player_totals_rolled": PLAYER_TOTALS,
+    "kd_trend_rolled": KD_TREND,
     "stream_kill_stats_per_file": STREAM_KILL_STATS_PER_FILE,
     "csv_decode_quarantine": CSV_DECODE_QUARANTINE,
     "retried_batches": PLAYER_TOTALS,

@@ -8,6 +8,7 @@ payloads and test views all agree on names, order and types.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     DataType,
     DoubleType,
     IntegerType,
@@ -63,6 +64,9 @@ PLAYER_DAMAGE_STATS_DDL = """
 player_id BIGINT, total_damage BIGINT, rounds BIGINT, damage_per_round DOUBLE
 """
 
+# What a batch stores so that rounds can be counted over many batches.
+PLAYER_DAMAGE_SKETCHES_DDL = "player_id BIGINT, total_damage BIGINT, rounds_sketch BINARY"
+
 # Topic names a match-log file is routed to.
 KILLS_TOPIC = "game.kills"
 DAMAGES_TOPIC = "game.damages"
@@ -78,6 +82,7 @@ _TYPES: dict[str, DataType] = {
     "STRING": StringType(),
     "DOUBLE": DoubleType(),
     "TIMESTAMP": TimestampType(),
+    "BINARY": BinaryType(),
 }
 
 
@@ -94,6 +99,7 @@ KILLS = _schema(KILLS_DDL)
 DAMAGES = _schema(DAMAGES_DDL)
 PLAYER_STATS = _schema(PLAYER_STATS_DDL)
 PLAYER_DAMAGE_STATS = _schema(PLAYER_DAMAGE_STATS_DDL)
+PLAYER_DAMAGE_SKETCHES = _schema(PLAYER_DAMAGE_SKETCHES_DDL)
 
 EVENT_SCHEMAS = {"kills": KILLS, "damages": DAMAGES}
 

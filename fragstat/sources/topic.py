@@ -60,12 +60,18 @@ def read_topic_log(
     topic: str | None = None,
     streaming: bool = True,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Records of a file-backed topic log (parquet, partitioned by topic)."""
+    """Records of a file-backed topic log (parquet, partitioned by topic).  A
+    micro-batch takes the files that there are, or up to the given bytes of them
+    (one file at least): bytes bound the work of a batch, and it still reads all its
+    files in parallel."""
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(TOPIC_LOG_SCHEMA)
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if streaming and max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     df = reader.parquet(path)
     return df.where(F.col("topic") == topic) if topic else df
 
