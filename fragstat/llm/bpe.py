@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,11 @@ from fragstat.llm.tokens import binary, coded, flat, hashes, segments, spread
 #: Text bytes of a chunk: its words, ids and pieces take about twenty times that.
 CHUNK_BYTES = 4 << 20
 
-WORD_REQUESTS = "bucket int, chunk long, words binary, sizes binary"
-WORD_ANSWERS = "chunk long, bucket int, ids binary, lengths binary"
+#: Texts that are decoded at once.
+DECODED_ROWS = 256
+
+WORD_REQUESTS = "bucket int, chunk long, words binary, sizes binary, digest long"
+WORD_ANSWERS = "chunk long, bucket int, ids binary, lengths binary, digest long"
 
 # Bytes that are, or may be part of, white space of any kind; a cut never
 # touches them.  Fixed values: 0x09-0x0D, 0x1C-0x1F, 0x20; first bytes 0xC2 and
@@ -110,16 +114,41 @@ def id_to_piece(path: str) -> pa.Array:
     return pa.array(pieces, pa.large_binary())
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def _digest(words: np.ndarray) -> int:
+    """Of the words that a chunk asks a bucket about, one after the other."""
+    return int(np.uint64(xxhash.xxh64_intdigest(words)).astype(np.int64))
+
+
+def _decoded(lists: pa.Array | pa.ChunkedArray, tokenizer_path: str) -> list[str]:
+    """The texts of id lists, joined from the ids' pieces, some lists at a time."""
+    pieces = id_to_piece(tokenizer_path)
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    texts: list[str] = []
+    for begin in range(0, len(lists), DECODED_ROWS):
+        part = lists.slice(begin, DECODED_ROWS)
+        counts = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+        data, ends = flat(pieces.take(pc.list_flatten(part)))
+        at = ends[np.concatenate(([0], np.cumsum(counts)))]
+        texts += [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
+    return texts
+
+
+def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids",
+           decoded_col: str | None = None) -> DataFrame:
     """``docs`` with ``ids_col``, the ids of the whole text as an int array.
 
     The ids are those of the library's ``encode(text, add_special_tokens=False)``.
     Null and empty texts have no ids (an empty array).  Repeated rows stay,
     other columns stay as they are; a column named ``ids_col`` is replaced.
+
+    With ``decoded_col`` the ids are decoded to that column where they were joined,
+    as :func:`decode` does, without a second Python worker beside the first.
     """
-    docs = docs.drop(ids_col)
+    docs = docs.drop(*[c for c in (ids_col, decoded_col) if c])
     bits = bucket_bits(docs.sparkSession)
-    # Both sides read this exchange, so texts move once and chunk numbers agree.
+    # Both sides read this exchange, so texts move once.  Should chunks come out otherwise
+    # when a part is computed again, the digests differ and the job fails.
     chunks = pack(docs, text_col, CHUNK_BYTES).repartition(F.col("chunk"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,15 +156,16 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
             for chunk, payload in zip(batch.column("chunk"), batch.column("payload")):
                 _, _, distinct, limits = _distinct_words(from_payload(payload.as_py()), text_col, bits)
                 filled = np.flatnonzero(np.diff(limits))
-                words, sizes = [], []
+                words, sizes, digests = [], [], []
                 for b in filled:
                     part, ends = flat(distinct.slice(limits[b], limits[b + 1] - limits[b]))
                     words.append(zstandard.compress(part.tobytes(), 3))
                     sizes.append(squeeze(np.diff(ends)))
+                    digests.append(_digest(part))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(filled.astype(np.int32)), pa.array([chunk.as_py()] * len(filled), pa.int64()),
-                     pa.array(words, pa.binary()), pa.array(sizes, pa.binary())],
-                    ["bucket", "chunk", "words", "sizes"])
+                     pa.array(words, pa.binary()), pa.array(sizes, pa.binary()), pa.array(digests, pa.int64())],
+                    ["bucket", "chunk", "words", "sizes", "digest"])
 
     def encode_words(group: pa.Table) -> pa.Table:
         """Encode the distinct words of one bucket, each once."""
@@ -156,12 +186,17 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
             rows[0].append(squeeze(ids[spread(starts[mine], lengths[mine])]))
             rows[1].append(squeeze(lengths[mine]))
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"),
-                         "ids": pa.array(rows[0], pa.binary()), "lengths": pa.array(rows[1], pa.binary())})
+                         "ids": pa.array(rows[0], pa.binary()), "lengths": pa.array(rows[1], pa.binary()),
+                         "digest": group.column("digest")})
 
     def join_back(texts: pa.Table, answers: pa.Table) -> pa.Table:
         """The ids of a chunk's words, joined to its texts by position."""
-        codes, counts, _, _ = _distinct_words(texts, text_col, bits)
+        codes, counts, distinct, limits = _distinct_words(texts, text_col, bits)
         order = np.argsort(answers.column("bucket").to_numpy())
+        asked = [_digest(flat(distinct.slice(limits[b], limits[b + 1] - limits[b]))[0])
+                 for b in np.flatnonzero(np.diff(limits))]
+        if asked != answers.column("digest").take(pa.array(order)).to_pylist():
+            raise RuntimeError("these ids are of other chunks: the input changed between question and answer")
         take = lambda c, kind: [unsqueeze(answers.column(c)[int(i)].as_py(), kind) for i in order]
         ids = np.concatenate([np.zeros(0, np.uint32), *take("ids", np.uint32)])
         lengths = np.concatenate([np.zeros(0, np.int64), *take("lengths", np.int64)])
@@ -169,9 +204,13 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
         values = ids[spread(starts[codes], lengths[codes])].astype(np.int32)
         tokens = np.bincount(segments(counts), lengths[codes], len(counts)).astype(np.int64)
         offsets = np.concatenate(([0], np.cumsum(tokens))).astype(np.int32)
-        return texts.append_column(ids_col, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        texts = texts.append_column(ids_col, lists)
+        return texts.append_column(decoded_col, pa.array(_decoded(lists, tokenizer_path), pa.string())) if decoded_col else texts
 
     schema = T.StructType(list(docs.schema)).add(ids_col, T.ArrayType(T.IntegerType()))
+    if decoded_col:
+        schema = schema.add(decoded_col, T.StringType())
     answers = chunks.mapInArrow(ask, WORD_REQUESTS).groupBy("bucket").applyInArrow(encode_words, WORD_ANSWERS)
     return with_answers(chunks, answers, join_back, schema)
 
@@ -187,13 +226,8 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_c
     encoded = encoded.drop(text_col)
 
     def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = id_to_piece(tokenizer_path)
         for batch in batches:
-            lists = batch.column(ids_col)
-            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            data, ends = flat(pieces.take(pc.list_flatten(lists)))
-            at = ends[np.concatenate(([0], np.cumsum(counts)))]
-            texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])]
+            texts = _decoded(batch.column(ids_col), tokenizer_path)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
 

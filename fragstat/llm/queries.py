@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fragstat.config import checkpoint_root
-from fragstat.llm.bpe import decode, encode
+from fragstat.llm.bpe import encode
 from fragstat.llm.decontamination import find_overlaps
 from fragstat.llm.exact_dedup import exact_groups
 from fragstat.llm.line_dedup import dedup_lines
@@ -41,7 +41,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, path), path)
+    both = encode(docs, path, decoded_col="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from fragstat.llm.bpe import cut_words, decode, encode
@@ -23,6 +24,29 @@ def check(spark, bpe_path, texts, docs_of):
         assert got[i].text == text
 
 
+def test_decoding_where_the_ids_are_joined(spark, bpe_path, docs_of):
+    docs = docs_of(ODD)
+    one = encode(docs.withColumn("decoded", docs.doc_id), bpe_path, decoded_col="decoded")
+    two = decode(encode(docs, bpe_path), bpe_path)
+    assert one.columns == two.columns
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+def test_recut_chunks_are_noticed(spark, bpe_path, monkeypatch):
+    """Should the answers be about other texts than the chunk's, the job fails."""
+    from fragstat.llm import bpe
+
+    real = bpe.with_answers
+
+    def other_texts(chunks, answers, apply, schema):
+        return real(chunks, answers, lambda texts, told: apply(
+            texts.set_column(texts.schema.get_field_index("text"), "text", pa.array(["x y z"] * len(texts))), told), schema)
+    monkeypatch.setattr(bpe, "with_answers", other_texts)
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id long, text string")
+    with pytest.raises(Exception, match="other chunks"):
+        encode(docs, bpe_path).collect()
+
+
 def test_odd_texts(spark, bpe_path, docs_of):
     check(spark, bpe_path, ODD, docs_of)
 
