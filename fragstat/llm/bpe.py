@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fragstat.llm.memory import release
 from fragstat.llm.packed import bucket_bits, from_payload, pack, squeeze, unsqueeze, with_answers
 from fragstat.llm.tokens import binary, coded, flat, hashes, segments, spread
 
@@ -154,6 +155,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, payload in zip(batch.column("chunk"), batch.column("payload")):
+                release()
                 _, _, distinct, limits = _distinct_words(from_payload(payload.as_py()), text_col, bits)
                 filled = np.flatnonzero(np.diff(limits))
                 words, sizes, digests = [], [], []
@@ -169,6 +171,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
 
     def encode_words(group: pa.Table) -> pa.Table:
         """Encode the distinct words of one bucket, each once."""
+        release()
         sizes = [unsqueeze(x, np.int64) for x in group.column("sizes").to_pylist()]
         data = b"".join(zstandard.decompress(x) for x in group.column("words").to_pylist())
         words = binary(np.frombuffer(data, np.uint8), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))))
@@ -191,6 +194,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col
 
     def join_back(texts: pa.Table, answers: pa.Table) -> pa.Table:
         """The ids of a chunk's words, joined to its texts by position."""
+        release()
         codes, counts, distinct, limits = _distinct_words(texts, text_col, bits)
         order = np.argsort(answers.column("bucket").to_numpy())
         asked = [_digest(flat(distinct.slice(limits[b], limits[b + 1] - limits[b]))[0])

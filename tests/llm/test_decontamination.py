@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from fragstat.llm.decontamination import MASKS, MIN_TOKENS, PERCENT, decontaminate, find_overlaps
+from fragstat.llm.decontamination import MIN_TOKENS, PERCENT, decontaminate, find_overlaps
 
 import fragstat.llm.decontamination as module
 
@@ -14,38 +14,6 @@ def split(text):
     return re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
-def brute(text, items):
-    """Overlaps by laying every item over the text at every shift."""
-    t, out = split(text), set()
-    for number, item in items:
-        w = split(item or "")
-        if number is None or not w:
-            continue
-        need = min(MIN_TOKENS, len(w))
-        masks = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS if len(m) <= len(w)]
-        spans = [len(m) for m in MASKS if len(m) <= len(w)]
-        if not masks:
-            masks, spans = [list(range(len(w)))], [len(w)]
-        for shift in range(-len(w) + 1, len(t)):
-            lo, hi = max(0, -shift), min(len(w), len(t) - shift)
-            same = [w[i] == t[i + shift] for i in range(lo, hi)]
-            score = [0]
-            for s in same:
-                score.append(score[-1] + (100 - PERCENT if s else -PERCENT))
-            best = None
-            for mask, span in zip(masks, spans):
-                for at in range(0, len(same) - span + 1):
-                    if all(same[at + i] for i in mask):
-                        a = min(range(at + 1), key=lambda i: score[i])
-                        b = max(range(at + span, len(same) + 1), key=lambda i: (score[i], i))
-                        m = sum(same[a:b])
-                        if b - a >= need and 100 * m >= PERCENT * (b - a) and (best is None or b - a > best[1] - best[0]):
-                            best = (a, b, m)
-            if best:
-                out.add((number, lo + best[0] + shift, lo + best[1] + shift, lo + best[0], best[2]))
-    return sorted(out)
-
-
 def corpus(seed):
     draw = random.Random(seed)
     word = lambda: draw.choice(["the", "of", "and"]) if draw.random() < 0.4 else "".join(draw.choices("abcd", k=3))
@@ -70,7 +38,7 @@ def check(spark, docs_of, items, texts):
     got = {r.doc_id: r for r in find_overlaps(docs_of(texts), benchmark).collect()}
     found = 0
     for i, text in enumerate(texts):
-        assert sorted(map(tuple, got[i].overlaps)) == brute(text, items), i
+        assert sorted(map(tuple, got[i].overlaps)) == sorted(set(every_window(text, items))), i
         assert got[i].text == text
         found += bool(got[i].overlaps)
     return found
