@@ -1,11 +1,14 @@
 """Comparing candidates inside bounded units.
 
-Candidates are members that share a key.  They are gathered into *units*: a
-connected set of candidates, or, where such a set is larger than a task should
-hold, the members under one key, in pairs of blocks if those are too many as
-well.  So any two members with a common key meet in some unit, a task holds one
-unit or two blocks, and a unit returns the links that connect its members --
-fewer than it has members -- and never its pairs.
+Candidates are members that share a key.  The smallest member under a key leads
+it, and all members under the keys of one lead form a *unit*: members that have
+much in common share most of their keys, so most of their keys have the same
+lead, and a member goes to few units however many keys it has.  Where a unit is
+larger than a task should hold, its keys are taken one by one, in pairs of
+blocks if those are too large as well.  So any two members with a common key
+meet in some unit, a task holds one unit or two blocks, and a unit returns the
+links that connect its members -- fewer than it has members -- and never its
+pairs.
 """
 
 from __future__ import annotations
@@ -70,30 +73,29 @@ class Index:
         return np.bincount(self.holders(self.of(i)), minlength=len(self.sizes))
 
 
-def units_of(rows: DataFrame, size: int) -> tuple[DataFrame, bool]:
+def units_of(rows: DataFrame, size: int) -> DataFrame:
     """``unit, i, j, member`` from (``token``, ``member``) rows: who is compared
-    with whom; and whether some connected set had to be split."""
-    tokens = rows.groupBy("token").agg(F.min("member").alias("lead"), F.max("member").alias("last"))
-    shared = rows.join(tokens.where("lead != last").select("token", "lead"), "token").checkpoint()
-    parts = connected_components(shared.select("member", "lead").distinct(), "member", "lead").checkpoint()
-    sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    sized = parts.join(sizes, "root").withColumnRenamed("node", "member")
-    whole = sized.where(F.col("n") <= size).select(F.col("root").alias("unit"), "member", F.lit(1).alias("blocks"))
-    large = sized.where(F.col("n") > size).select("member")
+    with whom."""
+    tokens = rows.groupBy("token").agg(
+        F.min("member").alias("lead"), F.max("member").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = rows.join(tokens.where("lead != last").drop("last"), "token")
+    led = shared.select("lead", "member").distinct().checkpoint()
+    sizes = led.groupBy("lead").agg(F.count(F.lit(1)).alias("n"))
+    whole = led.join(sizes.where(F.col("n") <= size).select("lead"), "lead").select(
+        F.col("lead").alias("unit"), F.lit(0).alias("i"), F.lit(0).alias("j"), "member")
+    large = sizes.where(F.col("n") > size).select("lead")
     if not large.limit(1).count():
-        return whole.select("unit", F.lit(0).alias("i"), F.lit(0).alias("j"), "member"), False
-    split = shared.join(large, "member").select("token", "member")
-    counts = split.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    split = split.join(counts, "token").select(
+        return whole
+    split = shared.join(large, "lead").select(
         F.col("token").cast("string").cast("binary").alias("unit"), "member",
         F.ceil(F.col("n") / size).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
     paired = (
-        whole.unionByName(split).withColumn("b", block)
+        split.withColumn("b", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("unit", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "member")
     )
-    return paired, True
+    return whole.unionByName(paired)
 
 
 def connected_members(rows: DataFrame, members: DataFrame,
@@ -115,11 +117,7 @@ def connected_members(rows: DataFrame, members: DataFrame,
         some = np.flatnonzero(first != np.arange(len(first)))
         member = table.column("member")
         return pa.table({"node": member.take(pa.array(some)), "root": member.take(pa.array(first[some]))})
-    units, split = units_of(rows, size)
     slots = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = units.join(members, "member").withColumn("slot", F.pmod(F.xxhash64("unit", "i", "j"), F.lit(slots)))
-    found = dealt.groupBy("slot").applyInArrow(links, LINKS).checkpoint()
-    if split:
-        return connected_components(found, "node", "root")
-    # Units have no member in common, so their links are stars already.
-    return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
+    dealt = units_of(rows, size).join(members, "member").withColumn(
+        "slot", F.pmod(F.xxhash64("unit", "i", "j"), F.lit(slots)))
+    return connected_components(dealt.groupBy("slot").applyInArrow(links, LINKS), "node", "root")
