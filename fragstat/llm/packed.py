@@ -14,6 +14,9 @@ the answers meet the chunk's texts again, in order, by a cogroup.
 
 Chunks are written to the shared folder once and reread, so that questions
 and answers speak of the same chunks even if executors are lost in between.
+Where chunks are computed again instead, their numbers carry a fingerprint of
+their rows: answers for a chunk that has come out otherwise find no chunk, and
+the job fails (:func:`documents`) rather than put them in wrong places.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -68,16 +72,24 @@ def from_payload(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all().combine_chunks()
 
 
+def documents(chunk: pa.Table) -> pa.Table:
+    """The rows of a chunk that others speak of."""
+    if not chunk.num_rows:
+        raise RuntimeError("these answers are of other chunks: the input changed between question and answer")
+    return from_payload(chunk.column("payload")[0].as_py())
+
+
 def _packer(text_col: str, chunk_bytes: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId() << 32, 0
+        task, made = TaskContext.get().partitionId() << 43, 0
         held: list[pa.RecordBatch] = []
         size = 0
 
         def chunk() -> pa.RecordBatch:
             payload = to_payload(pa.Table.from_batches(held))
+            number = task | made << 24 | xxhash.xxh32_intdigest(payload) >> 8
             return pa.RecordBatch.from_arrays(
-                [pa.array([task + made], pa.int64()), pa.array([payload], pa.binary())], ["chunk", "payload"])
+                [pa.array([number], pa.int64()), pa.array([payload], pa.binary())], ["chunk", "payload"])
 
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
@@ -95,7 +107,8 @@ def _packer(text_col: str, chunk_bytes: int):
 
 
 def pack(docs: DataFrame, text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``chunk, payload``: the rows of ``docs``, all columns, in packed chunks."""
+    """``chunk, payload``: the rows of ``docs``, all columns, in packed chunks.
+    Numbers follow the input's order: partition, chunk of the partition, fingerprint."""
     return docs.mapInArrow(_packer(text_col, chunk_bytes), CHUNKS)
 
 
@@ -179,7 +192,7 @@ def with_answers(chunks: DataFrame, answers: DataFrame, apply: Callable[[pa.Tabl
                  schema) -> DataFrame:
     """``apply(documents of the chunk, its answers)`` for each chunk."""
     def meet(chunk: pa.Table, answer: pa.Table) -> pa.Table:
-        return apply(from_payload(chunk.column("payload")[0].as_py()), answer)
+        return apply(documents(chunk), answer)
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(meet, schema)
 
 

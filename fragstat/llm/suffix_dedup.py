@@ -261,7 +261,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = bucket_bits(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    # Read three times: kept on the executors' disks, rebuilt from the input where one is lost.
+    # Read three times: kept on the executors' disks, rebuilt from the input where one is lost;
+    # a chunk that then comes out otherwise has another number, and the job fails.
     chunks = pack(rows, "_text", CHUNK_BYTES).repartition(partitions, F.col("chunk")).persist(StorageLevel.DISK_ONLY)
 
     def keys_of(texts: pa.Table):

@@ -2,12 +2,13 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm.brute import components
 
 from fragstat.llm.components import connected_components
-from fragstat.llm.packed import (add_up, bucket_bits, count_requests, distinct_counts, from_payload, packed_table, squeeze,
-                                 squeeze_sorted, told, unsqueeze, unsqueeze_sorted, with_answers)
-from fragstat.llm.tokens import flat, ngrams, words
+from fragstat.llm.packed import (add_up, bucket_bits, count_requests, distinct_counts, from_payload, pack, packed_table,
+                                 squeeze, squeeze_sorted, told, unsqueeze, unsqueeze_sorted, with_answers)
+from fragstat.llm.tokens import flat, hashes, ngrams, words
 
 
 def roots(spark, pairs):
@@ -80,3 +81,19 @@ def test_words_and_ngrams_follow_text_borders():
     assert sizes.tolist() == [3, 0, 1, 1] and len(set(grams.tolist())) == 5
     again, _ = ngrams(ids[1:4], np.array([3]), 3)
     assert again[0] == grams[1]
+
+
+def test_answers_for_chunks_that_came_out_otherwise_fail(docs_of):
+    def told_about(texts):
+        return pack(docs_of(texts, 1))
+
+    def keys_of(docs):
+        return [distinct_counts(hashes(docs.column("text").combine_chunks()))]
+
+    def size(docs, answers):
+        return pa.table({"n": pa.array([docs.num_rows], pa.int64())})
+
+    asked = add_up(count_requests(told_about(["a", "b"]), keys_of, 2))
+    assert with_answers(told_about(["a", "b"]), asked, size, "n long").collect() == [(2,)]
+    with pytest.raises(Exception, match="other chunks"):
+        with_answers(told_about(["a", "c"]), asked, size, "n long").collect()
