@@ -2,10 +2,13 @@
 
 For each class, toxic and ordinary, a Kneser-Ney bigram model is fitted that
 counts, for each expression (a word, or a word after another), the distinct
-labelled texts that hold it.  Both classes back off to the same lowest order,
-the continuation counts of all texts; an expression that is rare, or as usual
-in one class as in the other (a likelihood-ratio test decides), keeps no
-counts of its own and so gets the shared probability in both.  A text's
+labelled texts that hold it.  An expression that the classes use differently
+(a likelihood-ratio test decides) has discounted counts of its own in each
+class.  All others share what is left of the class's mass as the order below
+has them: pairs as the words of that class, words as the continuation counts
+of both classes together, which also keep a share for unknown words.  So each
+class's probabilities add up to one after every word, a rare expression has
+the shared probability in both, and every token of a text counts.  A text's
 evidence is the difference of its two log-likelihoods over its length; a
 logistic curve, fitted on labelled rows that the models have not seen, turns
 it into a score.
@@ -32,10 +35,8 @@ from fragstat.llm.tokens import NO_LETTER, coded, flat, hashes, mixed, segments,
 
 #: Bound of the fit: labelled rows of each class, those with the smallest id hashes.
 MAX_ROWS = 10_000
-#: Bound of the model: expressions, those with the largest test statistics.
-MAX_EXPRESSIONS = 200_000
-#: What a count loses to the shared model.
-DISCOUNT = 0.02
+#: What a count loses to the order below, and what that has beside it.
+DISCOUNT, BACKOFF = 0.02, 5
 #: An expression keeps its counts from this likelihood-ratio statistic on, and this many texts.
 MIN_RATIO, MIN_TEXTS = 12.0, 3
 #: Added to a text's length, so that a single word says little about a short text.
@@ -88,11 +89,17 @@ def count_expressions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 @dataclass
 class ToxicityModel:
-    """Sorted expression keys with the evidence of each, and the logistic curve."""
+    """Sorted expression keys with the evidence of each, and the logistic curve.
+
+    ``(0, w)`` is a word, ``(v, w)`` a word after another, ``(v, 0)`` what any
+    other word after ``v`` adds to its own evidence, ``rest`` the evidence of a
+    word without counts of its own.
+    """
     keys: np.ndarray
     values: np.ndarray
     slope: float
     intercept: float
+    rest: float = 0.0
 
     def _of(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -103,10 +110,15 @@ class ToxicityModel:
     def evidence(self, texts: pa.Array) -> np.ndarray:
         """Toxic less ordinary log-likelihood over the length of each text."""
         codes, counts, hashed = _tokens(texts)
-        alone = np.nan_to_num(self._of(expression_key(np.zeros(len(hashed), np.uint64), hashed)))[codes]
+        none = np.zeros(len(hashed) + 1, np.uint64)
+        word = self._of(expression_key(none[:-1], hashed))
+        alone = np.where(np.isnan(word), self.rest, word)
         hashed = np.append(hashed, _START)
-        pair = self._of(expression_key(hashed[_before(codes, counts, len(hashed) - 1)], hashed[codes]))
-        total = np.bincount(segments(counts), np.where(np.isnan(pair), alone, pair), len(counts))
+        back = np.nan_to_num(self._of(expression_key(hashed, none)))
+        before = _before(codes, counts, len(hashed) - 1)
+        pair = self._of(expression_key(hashed[before], hashed[codes]))
+        each = np.where(np.isnan(pair), back[before] + alone[codes], pair)
+        total = np.bincount(segments(counts), each, len(counts))
         return total / (counts + PAD)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
@@ -164,38 +176,24 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     counts = (
         sample.where("NOT held").select("text", "toxic").mapInArrow(count_expressions, COUNTS)
         .groupBy("v", "w").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+        .withColumn("own", (F.col("ordinary") + F.col("toxic") >= MIN_TEXTS) & (
+            _ratio(F.col("toxic"), F.col("ordinary"), F.lit(float(toxic)), F.lit(float(ordinary))) >= MIN_RATIO))
     ).checkpoint()
-    alone = counts.where("v = 0")
+    alone, pairs = counts.where("v = 0"), counts.where("v != 0")
+    totals = alone.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("ordinary", "toxic"))).first()
     # Shared lowest order: how many different words come before w, in either class.
-    before = counts.where("v != 0").groupBy("w").agg(F.count("*").alias("before"))
-    totals = alone.agg(
-        F.sum("ordinary"), F.sum("toxic"), F.count_if(F.col("ordinary") > 0), F.count_if(F.col("toxic") > 0)).first()
-    all_before = counts.where("v != 0").count()
-    kept = (
-        counts.where(F.col("ordinary") + F.col("toxic") >= MIN_TEXTS)
-        .withColumn("ratio", _ratio(F.col("toxic"), F.col("ordinary"), F.lit(float(toxic)), F.lit(float(ordinary))))
-        .where(F.col("ratio") >= MIN_RATIO)
-        .orderBy(F.desc("ratio"), "v", "w").limit(MAX_EXPRESSIONS)
-    )
-    lower = alone.select("w", F.col("ordinary").alias("w0"), F.col("toxic").alias("w1"))
-    history = alone.select(F.col("w").alias("v"), F.col("ordinary").alias("v0"), F.col("toxic").alias("v1"))
+    before = pairs.groupBy("w").agg(F.count("*").alias("before"))
+    lower = alone.select("w", F.col("ordinary").alias("w0"), F.col("toxic").alias("w1"), F.col("own").alias("w_own"))
+    history = pairs.groupBy("v").agg(
+        F.sum("ordinary").alias("v0"), F.sum("toxic").alias("v1"), F.bool_or("own").alias("v_own")).where("v_own")
     table = (
-        kept.join(before, "w", "left").join(lower, "w", "left").join(history, "v", "left")
-        .select("v", "w", "ordinary", "toxic", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("before", "w0", "w1", "v0", "v1")))
+        counts.where("own").join(before, "w").join(lower, "w").join(history, "v", "left")
+        .select("v", "w", "ordinary", "toxic", "before", "w0", "w1", "w_own",
+                *(F.coalesce(c, F.lit(0)).alias(c) for c in ("v0", "v1")))
         .toPandas()
     )
-    column = {c: table[c].to_numpy() for c in table.columns}
-    shared = np.maximum(column["before"], 0.5) / max(all_before, 1)
-    logs = []
-    for n, low, past, total, kinds, texts in (("ordinary", "w0", "v0", totals[0], totals[2], ordinary),
-                                              ("toxic", "w1", "v1", totals[1], totals[3], toxic)):
-        word = (np.maximum(column[low] - DISCOUNT, 0) + DISCOUNT * kinds * shared) / total
-        after = np.where(column["v"] == _START.astype(np.int64), texts, column[past])
-        pair = (np.maximum(column[n] - DISCOUNT, 0) + (DISCOUNT * np.maximum(column[n], 1) + 1) * word) / (after + 1)
-        logs.append(np.log(np.where(column["v"] == 0, word, pair)))
-    keys = expression_key(column["v"].astype(np.int64).view(np.uint64), column["w"].astype(np.int64).view(np.uint64))
-    order = np.argsort(keys)
-    model = ToxicityModel(keys[order], (logs[1] - logs[0])[order], 1.0, 0.0)
+    keys, values, rest = evidence_table({c: table[c].to_numpy() for c in table.columns}, totals, pairs.count())
+    model = ToxicityModel(keys, values, 1.0, 0.0, rest)
     held = with_scores(sample.where("held"), model, raw=True).select("_evidence", "toxic").toPandas()
     rows = {r["_toxic"]: r.n for r in known.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
     stands_for = np.array([max(rows.get(label, 0) / max_rows, 1.0) for label in (0, 1)])
@@ -204,6 +202,39 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     return model
 
 
+def evidence_table(column: dict[str, np.ndarray], totals: tuple[int, int], kinds: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(keys, values, rest) of :class:`ToxicityModel`.
+
+    ``column`` has a row for each expression with counts of its own: ``v, w,
+    ordinary, toxic``, of its word ``before, w0, w1, w_own``, of the word before
+    all its pairs ``v0, v1``.  ``totals`` are the counts of all words of each
+    class, ``kinds`` that of all different pairs.
+    """
+    word = column["v"] == 0
+    shared = column["before"] / (kinds + 1)  # the one more is for unknown words
+    outside = 1 - shared[word].sum()
+    history, first, at = np.unique(column["v"][~word], return_index=True, return_inverse=True)
+    logs = []
+    for n, low, past, total in (("ordinary", "w0", "v0", totals[0]), ("toxic", "w1", "v1", totals[1])):
+        n, low = column[n], column[low]
+        freed = np.minimum(n[word], DISCOUNT).sum() + BACKOFF
+        rest = ((total - n[word].sum()) / outside + freed) / (total + BACKOFF)
+        p = np.where(column["w_own"].astype(bool),
+                     (np.maximum(low - DISCOUNT, 0) + freed * shared) / (total + BACKOFF), rest * shared)
+        own, p_own, past = n[~word], p[~word], column[past][~word][first]
+        taken, freed = np.bincount(at, own), np.bincount(at, np.minimum(own, DISCOUNT)) + BACKOFF
+        free = np.maximum(1 - np.bincount(at, p_own), 1e-12)
+        pair = (np.maximum(own - DISCOUNT, 0) + freed[at] * p_own) / (past[at] + BACKOFF)
+        back = ((past - taken) / free + freed) / (past + BACKOFF)
+        logs.append(np.log(np.concatenate((p[word], pair, back, [rest]))))
+    values = logs[1] - logs[0]
+    v = np.concatenate((column["v"][word], column["v"][~word], history)).astype(np.int64).view(np.uint64)
+    w = np.concatenate((column["w"][word], column["w"][~word], np.zeros_like(history))).astype(np.int64).view(np.uint64)
+    keys = expression_key(v, w)
+    order = np.argsort(keys)
+    return keys[order], values[:-1][order], float(values[-1])
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, weights: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and intercept of a logistic curve (Newton steps)."""
     if not len(y) or y.min() == y.max():

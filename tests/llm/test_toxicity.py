@@ -1,11 +1,15 @@
+import math
 import random
+import re
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fragstat.llm.toxicity import count_expressions, expression_key, fit, logistic, with_scores
+from fragstat.llm.toxicity import (BACKOFF, DISCOUNT, MIN_RATIO, MIN_TEXTS, PAD, _known, _labelled, count_expressions,
+                                   expression_key, fit, logistic, with_scores)
 
 
 def corpus(n, seed=1):
@@ -67,6 +71,91 @@ def test_only_telling_expressions_are_kept(labelled):
     assert len(model.keys) < 60 and (model.values > 0).sum() >= 4
 
 
+class BruteModel:
+    """The class models by their definition, word by word in dictionaries."""
+
+    def __init__(self, rows):
+        self.n = [{}, {}]  # expressions (one word or two) to texts that hold them
+        texts = [0, 0]
+        for text, toxic in rows:
+            words = re.findall(r"[a-z0-9]+", text.lower())
+            texts[toxic] += 1
+            for e in {(w,) for w in words} | set(zip(["<s>", *words], words)):
+                self.n[toxic][e] = self.n[toxic].get(e, 0) + 1
+        every = set(self.n[0]) | set(self.n[1])
+        self.own = {e for e in every if self.tells(self.n[1].get(e, 0), self.n[0].get(e, 0), texts[1], texts[0])}
+        self.pairs = [e for e in every if len(e) == 2]
+        self.vocabulary = sorted({e[0] for e in every if len(e) == 1}) + ["?unknown"]
+
+    @staticmethod
+    def tells(a, b, n, m):
+        def term(seen, expected):
+            return seen * math.log(seen / expected) if seen else 0.0
+        p = (a + b) / (n + m)
+        ratio = 2 * (term(a, n * p) + term(b, m * p) + term(n - a, n * (1 - p)) + term(m - b, m * (1 - p)))
+        return a + b >= MIN_TEXTS and ratio >= MIN_RATIO
+
+    def shared(self, w):
+        kinds = 1 if w == "?unknown" else sum(e[1] == w for e in self.pairs)
+        return kinds / (len(self.pairs) + 1)
+
+    def mixture(self, counts, own, lower, w):
+        """Own words by discounted counts, the others' mass as ``lower`` has them, and what is freed for all."""
+        total = sum(counts.values())
+        freed = sum(min(counts.get(x, 0), DISCOUNT) for x in own) + BACKOFF
+        p = freed * lower(w)
+        if w in own:
+            p += max(counts.get(w, 0) - DISCOUNT, 0)
+        else:
+            others = total - sum(counts.get(x, 0) for x in own)
+            p += others * lower(w) / (1 - sum(lower(x) for x in own))
+        return p / (total + BACKOFF)
+
+    @cache
+    def word(self, c, w):
+        counts = {e[0]: n for e, n in self.n[c].items() if len(e) == 1}
+        return self.mixture(counts, {e[0] for e in self.own if len(e) == 1}, self.shared, w)
+
+    @cache
+    def after(self, c, v, w):
+        own = {e[1] for e in self.own if len(e) == 2 and e[0] == v}
+        if not own:
+            return self.word(c, w)
+        counts = {e[1]: n for e, n in self.n[c].items() if len(e) == 2 and e[0] == v}
+        return self.mixture(counts, own, lambda x: self.word(c, x), w)
+
+    def evidence(self, text):
+        words = re.findall(r"[a-z0-9]+", text.lower())
+        known = [w if w in self.vocabulary else "?unknown" for w in words]
+        total = sum(math.log(self.after(1, v, w) / self.after(0, v, w)) for v, w in zip(["<s>", *known], known))
+        return total / (len(words) + PAD)
+
+
+def test_against_brute_force(spark):
+    draw = random.Random(4)
+    stems = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(400):
+        words = [draw.choice(stems) for _ in range(draw.randint(5, 40))]
+        toxic = int(draw.random() < 0.3)
+        for _ in range(2 * toxic):
+            at = draw.randrange(len(words))
+            words[at:at] = draw.choice([["zonk", "blarg"], ["zonk", "w3"], ["w1", "w2"], ["grmpf"]])
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = fit(docs, labels, F.lit(True))
+    sample = _labelled(docs, _known(labels, F.lit(True), "doc_id", "toxic"), "doc_id", "text", 10_000)
+    brute = BruteModel([(r.text, r.toxic) for r in sample.where("NOT held").collect()])
+    assert {len(e) for e in brute.own} == {1, 2}
+    for c in (0, 1):
+        for v in ("<s>", "zonk", "w1", "w5", "grmpf"):
+            assert abs(sum(brute.after(c, v, w) for w in brute.vocabulary) - 1) < 1e-9
+    texts = [r[1] for r in rows[:60]] + ["", "zonk", "unheard of words", "zonk unheard zonk blarg", "W1 w2 ZONK! w3"]
+    got = model.evidence(pa.array(texts))
+    assert np.allclose(got, [brute.evidence(t) for t in texts], rtol=1e-9, atol=1e-12)
+
+
 def test_one_class_no_labels_and_conflicts(spark, labelled):
     docs, labels = labelled
     none = labels.where("false")
