@@ -87,3 +87,23 @@ def test_plan_is_one_scan_without_shuffle(spark, tmp_path):
     (tmp_path / "m_kills.csv").write_text("h\n1\n")
     plan = plan_text(read_numbered_lines(spark, str(tmp_path)))
     assert count_nodes(plan, "FileScan text") == 1 and "Exchange" not in plan
+
+
+def test_a_line_is_neither_searched_for_its_file_name_nor_moved(spark, tmp_path):
+    from fragstat.plans.inspect import plan_text
+
+    for match in ("m1", "m2"):
+        for chunk in ("chunk=0", "chunk=1"):
+            folder = tmp_path / f"file={match}_kills.csv" / chunk
+            folder.mkdir(parents=True)
+            (folder / "part-0.txt").write_text(f"h\n{chunk}\n{match}\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for splits of a large folder
+    try:
+        lines = read_numbered_lines(spark, str(tmp_path))
+        got = in_order(with_line_numbers(lines))
+        plan = plan_text(with_line_numbers(lines))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r.file_name, r.line_number, r.line) for r in got] == [
+        (f"{m}_kills.csv", i, x) for m in ("m1", "m2") for i, x in enumerate(["chunk=0", m, "chunk=1", m])]
+    assert "regexp_extract" not in plan and "SortMergeJoin" not in plan
