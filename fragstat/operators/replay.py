@@ -105,7 +105,7 @@ def to_payload(
 
 
 def with_running_number(df: DataFrame, order: Sequence[str], number_col: str = "number",
-                        rows_per_partition: int = 2_000_000) -> DataFrame:
+                        rows_per_partition: int = 2_000_000, keep: Sequence[str] | None = None) -> DataFrame:
     """The rows sorted by ``order`` and numbered 0, 1, ... along it.
 
     No task sees all rows: the sort is range-partitioned, its result is
@@ -114,11 +114,13 @@ def with_running_number(df: DataFrame, order: Sequence[str], number_col: str = "
     row's number is the count of all partitions before its own plus its place
     inside.  The driver holds one count for each partition.  Rows that are equal
     get numbers of their own; where ``order`` leaves rows undecided, a hash of the
-    whole row decides first.
+    whole row decides first.  Columns that only the order needs are left out of what
+    is stored if ``keep`` names the others.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    ordered = replay_order(df, keys=tuple(order), rows_per_partition=rows_per_partition).checkpoint()
+    ordered = replay_order(df, keys=tuple(order), rows_per_partition=rows_per_partition)
+    ordered = ordered.select(*(df.columns if keep is None else keep)).checkpoint()
     place = ordered.withColumn("_place", F.monotonically_increasing_id())
     part = F.shiftright("_place", 33)
     counts = place.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()
@@ -144,7 +146,8 @@ def replay_messages(lines: DataFrame, ms_per_tick: float = DEFAULT_MS_PER_TICK,
     by tick.
     """
     ticked = lines.withColumn("tick", raw_field("line", 1, "int")).where("tick IS NOT NULL")
-    numbered = with_running_number(ticked, LINE_REPLAY_ORDER, rows_per_partition=rows_per_partition)
+    numbered = with_running_number(ticked, LINE_REPLAY_ORDER, rows_per_partition=rows_per_partition,
+                                   keep=("tick", "file_name", "line"))
     seconds = elapsed_seconds("tick", ms_per_tick).cast("string")
     return numbered.select(
         "number", topic_for_file("file_name").alias("topic"), F.col("number").cast("string").alias("key"),

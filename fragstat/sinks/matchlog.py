@@ -8,15 +8,23 @@ that the writer gives; read it with ``glob="*.csv"``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.decode import ENCODE_OPTIONS
-from ..operators.replay import with_running_number
+from ..operators.replay import replay_order
 from ..schemas import REPLAY_TIME_COLUMN
 
 WRITTEN_FILES = "*.csv"
+#: Of ``monotonically_increasing_id``: the bits that count a task's rows, below those of its number.
+PLACE_BITS = 33
+PLACE_MASK = (1 << PLACE_BITS) - 1
 
 
 def _one_line(df: DataFrame) -> DataFrame:
@@ -45,24 +53,47 @@ def write_match_logs(df: DataFrame, folder: str, max_records_per_file: int | Non
     writer.csv(folder)
 
 
+def _with_headers(header: str, lines_per_part: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Put the header before the first line of each part.  A task's rows stand in order,
+    ``place`` counts them; a part is ``lines_per_part`` places of one file."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # file and part of the row before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, value, place = (batch.column(name) for name in ("file", "value", "place"))
+            codes = file.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            parts = (place.to_numpy() & PLACE_MASK) // lines_per_part
+            first = np.ones(batch.num_rows, bool)
+            first[1:] = (np.diff(codes) != 0) | (np.diff(parts) != 0)
+            first[0] = (file[0].as_py(), parts[0]) != last
+            last = (file[-1].as_py(), parts[-1])
+            value = pc.fill_null(value, "")
+            value = pc.if_else(pa.array(first), pc.binary_join_element_wise(header, value, "\n"), value)
+            yield pa.RecordBatch.from_arrays([file, value, place], names=["file", "value", "place"])
+    return add
+
+
 def write_ordered_lines(lines: DataFrame, folder: str, header: str, order: tuple[str, ...],
                         file_col: str = "file_name", line_col: str = "line", lines_per_part: int = 1_000_000) -> None:
     """Write raw lines as match-log files into the new folder ``folder``: a folder
     for each value of ``file_col``, in which the lines stand in ``order`` under
     the ``header``.  Read them with :mod:`fragstat.sources.lines`.
 
-    Blank lines are written as they are.  The lines are numbered along the order,
-    and every ``lines_per_part`` of them a new part begins (with a header of its
-    own), so no task holds more of a file, however large it is.
+    Blank lines are written as they are.  The lines are range-partitioned along the
+    order, so a file is a task's stretch of rows, or those of several tasks that follow
+    each other; every ``lines_per_part`` rows of a task a new part begins (with a header
+    of its own).  A part is named by its task's number and its own, 10 digits each.  Each
+    task writes the rows that it has sorted: one shuffle, nothing stored in between.
     """
-    numbered = with_running_number(
-        lines.select(F.col(file_col).alias("_file"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
-                     F.col(line_col).alias("_line")),
-        ["_file", *(f"_order{i}" for i in range(len(order)))], "_number")
-    part = F.lpad(F.call_function("div", "_number", F.lit(lines_per_part).cast("long")).cast("string"), 12, "0")
-    rows = numbered.select(F.col("_file").alias("file"), part.alias("chunk"), "_number", F.col("_line").alias("value"))
-    heads = rows.select("file", "chunk").distinct().select(
-        "file", "chunk", F.lit(-1).cast("long").alias("_number"), F.lit(header).alias("value"))
+    ordered = replay_order(
+        lines.select(F.col(file_col).alias("file"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
+                     F.col(line_col).alias("value")),
+        ["file", *(f"_order{i}" for i in range(len(order)))])
+    placed = ordered.select("file", "value", F.monotonically_increasing_id().alias("place")).mapInArrow(
+        _with_headers(header, lines_per_part), "file string, value string, place long")
+    part = F.call_function("div", F.col("place").bitwiseAND(F.lit(PLACE_MASK)), F.lit(lines_per_part).cast("long"))
+    chunk = F.concat(*[F.lpad(n.cast("string"), 10, "0") for n in (F.shiftright("place", PLACE_BITS), part)])
     keys = ["file", "chunk"]
-    placed = rows.unionByName(heads).repartition(*keys).sortWithinPartitions(*keys, "_number")
-    placed.select("value", *keys).write.mode("errorifexists").partitionBy(*keys).text(folder)
+    rows = placed.select("value", "file", chunk.alias("chunk"), "place").sortWithinPartitions(*keys, "place")
+    rows.select("value", *keys).write.mode("errorifexists").partitionBy(*keys).text(folder)

@@ -54,3 +54,46 @@ def test_written_lines_come_back_in_order(spark, tmp_path):
     got = read_numbered_lines(spark, out).orderBy(*LINE_ORDER).collect()
     assert [(r.file_name, r.line) for r in got] == [(f, x) for f, _, x in sorted(rows)]
     assert len({r.file_path for r in got}) >= 500 // 60
+
+
+def test_lines_are_written_by_the_tasks_that_sort_them(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def stored(*args, **more):
+        raise AssertionError("stored in between")
+    monkeypatch.setattr(DataFrame, "checkpoint", stored)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(f, t, x) for f in ("a.csv", "b.csv", None) for t in range(40) for x in ("", None, f"{t},x", "é")]
+        df = spark.createDataFrame(rows, "file_name string, tick int, line string").repartition(3)
+        write_ordered_lines(df.withColumn("n", F.coalesce("line", F.lit("-"))), str(tmp_path / "out"), "h", ("tick", "n"), lines_per_part=9)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    whole = read_numbered_lines(spark, str(tmp_path / "out"), with_header=True).orderBy(*LINE_ORDER).collect()
+    parts = {}
+    for r in whole:
+        parts.setdefault((r.file_name, r.file_path), []).append(r.line)
+    assert all(p[0] == "h" and len(p) <= 10 for p in parts.values())
+    hive_null = "__HIVE_DEFAULT_PARTITION__"
+    want = {f or hive_null: [x or "" for _, x in sorted([(t, x or ("-" if x is None else "")) for g, t, x in rows if g == f],
+                                                          key=lambda r: r)] for f in ("a.csv", "b.csv", None)}
+    want = {f: ["" if x == "-" else x for x in v] for f, v in want.items()}
+    got = {}
+    for (f, _), p in sorted(parts.items()):
+        got.setdefault(f, []).extend(p[1:])
+    assert got == want
+
+
+def test_only_what_a_message_needs_is_stored(spark, folder):
+    lines = read_numbered_lines(spark, folder)
+    numbered = with_running_number(lines, LINE_ORDER, keep=("line",))
+    assert numbered.columns == ["line", "number"]
+    assert [r.line for r in numbered.orderBy("number").collect()] == [r.line for r in lines.orderBy(*LINE_ORDER).collect()]
+
+
+def test_counting_event_lines_encodes_nothing(spark):
+    from conftest import SF_SMALL
+
+    from fragstat.plans.staged import line_files
+    plan = line_files(spark, SF_SMALL).groupBy().count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_csv" not in plan and "md5" not in plan
