@@ -91,7 +91,7 @@ def _parts(spark: SparkSession, table: str, rollup: str, result: StructType) ->
         return last, latest_per_batch(open_days), None
     old = replaced.select(F.col(BATCH_COLUMN).alias("_old_batch"), F.col(WRITE_ID).alias("_old_write"))
     gone = written.where(F.col(DATE_PARTITION).isin(days) & ~F.col(MARKER)).join(
-        old, (F.col(BATCH_COLUMN) == F.col("_old_batch")) & (F.col(WRITE_ID) == F.col("_old_write")))
+        F.broadcast(old), (F.col(BATCH_COLUMN) == F.col("_old_batch")) & (F.col(WRITE_ID) == F.col("_old_write")))
     return last, latest_per_batch(open_days), gone
 
 

@@ -132,16 +132,17 @@ def latest_per_batch(df: DataFrame) -> DataFrame:
 
     Where there are markers, only marked writes count.  A sink without them has the
     latest ``recorded_at`` of each batch (then the latest ``write_id``, if there is
-    one).  The latest write is one row per batch from a partial aggregation; the
-    rows meet it by a join on the batch.
+    one).  The latest write is one row of some 100 bytes per batch from a partial
+    aggregation.  It is sent to the rows, which do not move: a batch can hold any number
+    of rows, and a join on the batch would bring them to one task.
     """
     if MARKER in df.columns and WRITE_ID in df.columns:
         last = latest_writes(df).select(F.col(BATCH_COLUMN).alias("_batch"), F.col(WRITE_ID).alias("_write"))
         same = F.col(BATCH_COLUMN).eqNullSafe(F.col("_batch")) & (F.col(WRITE_ID) == F.col("_write"))
-        return df.where(~F.col(MARKER)).join(last, same).drop("_batch", "_write")
+        return df.where(~F.col(MARKER)).join(F.broadcast(last), same).drop("_batch", "_write")
     order = F.struct(*[c for c in (RECORDED_AT, WRITE_ID) if c in df.columns])
     latest = df.groupBy(BATCH_COLUMN).agg(F.max(order).alias("_latest"))
-    return df.join(latest, BATCH_COLUMN).where(order == F.col("_latest")).drop("_latest")
+    return df.join(F.broadcast(latest), BATCH_COLUMN).where(order == F.col("_latest")).drop("_latest")
 
 
 def read_written(spark: SparkSession, path: str, result: StructType, fmt: str = "parquet") -> DataFrame:

@@ -126,3 +126,18 @@ def test_merged_sketches_count_a_round_once(spark, make_damages):
     many = make_damages([dict(attacker_steamid=1, round=i, tick=i, victim_health=1, victim_new_health=0) for i in range(20_000)])
     rounds = merged_damage_stats(player_damage_sketches(many.withColumn("batch_id", F.col("tick") % 5), by=["batch_id"])).first().rounds
     assert abs(rounds - 20_000) <= 3 * 0.0163 * 20_000
+
+
+def test_rows_of_a_large_batch_stay_where_they_are_read(spark, tmp_path):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    table = str(tmp_path / "t")
+    write_batch(spark.range(4000).repartition(6), table, 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table that is larger than that
+    try:
+        rows = read_result_table(spark, table, StructType([StructField("id", LongType())]))
+        assert sorted(r.id for r in rows.collect()) == list(range(4000))
+        plan = plan_text(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
