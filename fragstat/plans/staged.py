@@ -178,9 +178,9 @@ def _log_by_match(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _share_of(spark: SparkSession, log: str, parts: int) -> int:
-    """Bytes of a topic log's files, divided into ``parts``."""
-    files = spark.read.parquet(log).select("_metadata.file_path", "_metadata.file_size").distinct()
-    return max(1, (files.agg(F.sum("file_size")).first()[0] or 0) // parts)
+    """Bytes of a topic log's files, divided into ``parts``; from the list of files alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(log).select("length")
+    return max(1, (files.agg(F.sum("length")).first()[0] or 0) // parts)
 
 
 def _kill_stats_by_match(kills: DataFrame) -> DataFrame:
@@ -213,6 +213,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _log_by_match(spark, sf_dir)
     table = scratch_path(spark, "tables", "player_stats_restarted")
     checkpoint = scratch_path(spark, "streams", "kills-restarted")
+    share = _share_of(spark, log, 3)
 
     def breaking(df: DataFrame, batch_id: int) -> None:
         if batch_id == 0:
@@ -222,7 +223,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise _Interrupted(f"batch {batch_id}")
 
     def start(sink):
-        records = read_topic_log(spark, log, KILLS_TOPIC, max_bytes_per_trigger=_share_of(spark, log, 3))
+        records = read_topic_log(spark, log, KILLS_TOPIC, max_bytes_per_trigger=share)
         return start_stats_stream(decode_events(records, "kills"), _kill_stats_by_match, sink, checkpoint,
                                   trigger={"availableNow": True})
 

@@ -207,3 +207,16 @@ def test_latest_per_batch_of_other_sinks(spark):
         [(1, "a", "2024-01-01 00:00:00"), (1, "b", "2024-01-01 00:00:00"), (1, "c", "2024-01-02 00:00:00"), (2, "d", "2024-01-01 00:00:00")],
         "batch_id long, x string, t string").select("batch_id", "x", F.to_timestamp("t").alias("recorded_at"))
     assert sorted(r.x for r in latest_per_batch(rows).collect()) == ["c", "d"]
+
+
+def test_share_of_a_topic_log_reads_no_records(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    from fragstat.plans.staged import _share_of
+    log = tmp_path / "log"
+    records = spark.range(300).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"), F.lit("t").alias("topic"),
+                                      (F.col("id") % 5).alias("m"))
+    append_topic_log(records, str(log), by=("m",))
+    size = sum(p.stat().st_size for p in log.rglob("part-*.parquet"))
+    monkeypatch.setattr(DataFrameReader, "parquet", None)
+    assert _share_of(spark, str(log), 3) == size // 3 and _share_of(spark, str(log), 10**9) == 1
