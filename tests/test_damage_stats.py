@@ -54,3 +54,19 @@ def test_approx_rounds_with_rsd(make_damages):
     rows = [dict(attacker_steamid=1, victim_health=1, victim_new_health=0, round=r) for r in range(1, 61)]
     row = player_damage_stats(make_damages(rows), rsd=0.01).first()
     assert row.rounds == 60
+
+
+def test_rounds_with_rsd_hold_no_registers_of_all_players(spark, make_damages):
+    from fragstat.plans.inspect import plan_text
+
+    rows = [dict(attacker_steamid=p or None, victim_health=100, victim_new_health=100 - p % 7, match_checksum=m,
+                 round=None if (p + r) % 11 == 0 else r) for p in range(300) for r in range(1, 1 + p % 9) for m in ("a", None)]
+    df = make_damages(rows)
+    for keys in (("round",), ("match_checksum", "round")):
+        got = player_damage_stats(df, rsd=0.01, round_keys=keys)
+        assert sorted_rows(got) == sorted_rows(player_damage_stats(df, exact=True, round_keys=keys))
+        assert got.schema["rounds"].dataType == player_damage_stats(df, round_keys=keys).schema["rounds"].dataType
+        plan = plan_text(got)
+        assert "ObjectHashAggregate" in plan and "approx_count_distinct" not in plan
+    finer = player_damage_stats(df, rsd=0.0001)  # than any sketch
+    assert sorted_rows(finer) == sorted_rows(player_damage_stats(df, exact=True))
