@@ -41,6 +41,19 @@ def test_dqds_is_accurate_relative_to_small_values():
     assert math.isclose(float(np.prod(got / 10.0 ** -np.arange(0.0, 30, 3))), 1.0, rel_tol=1e-12)  # the determinant
 
 
+@pytest.mark.parametrize("apart", [1e-2, 1e-4, 1e-6, 1e-9, 1e-12])
+def test_values_that_nearly_agree(apart):
+    """Triangles of very many rows without a preferred direction."""
+    draw = np.random.default_rng(11)
+    for size in (8, 64, 64, 64, 64):
+        r = np.eye(size) + apart * np.triu(draw.normal(size=(size, size)))
+        values, vectors = principal_directions(r, 4)
+        want = np.linalg.svd(r, compute_uv=False)[:4] ** 2
+        assert np.allclose(values, want, rtol=1e-12)
+        assert np.allclose(vectors @ vectors.T, np.eye(4), atol=1e-9)
+        assert np.abs(vectors @ r.T @ r - values[:, None] * vectors).max() < 1e-9
+
+
 @pytest.mark.parametrize("name", triangles())
 def test_directions_are_eigenvectors(name):
     x = triangles()[name]
