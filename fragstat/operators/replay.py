@@ -12,8 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NullType, StructField, StructType
 
-from ..config import checkpoint_root
+from ..config import free_shuffles, scratch_path
 from ..functions.decode import encode_csv
 from ..functions.routing import DEFAULT_MS_PER_TICK, elapsed_seconds, raw_field, topic_for_file
 from ..schemas import REPLAY_TIME_COLUMN
@@ -41,7 +42,7 @@ def with_elapsed_seconds(
 
 def replay_order(
     df: DataFrame,
-    keys: Sequence[str] = REPLAY_ORDER,
+    keys: Sequence[str | F.Column] = REPLAY_ORDER,
     by: Sequence[str] = (),
     num_partitions: int | None = None,
     rows_per_partition: int = 2_000_000,
@@ -58,13 +59,16 @@ def replay_order(
     follows the rows (counted first, which reads no column of a columnar
     table), not a setting.  Sort events before encoding them: the sampling
     pass of the range partitioner computes whatever lies below it once more.
+
+    Keys may be expressions.  Those, and the hash, are computed on both sides of the
+    shuffle and not sent: they take as much of it as the rows, and do not compress.
     """
-    cols = [c for c in (*by, *keys) if c in df.columns]
-    tiebreak = "_replay_tiebreak"
-    ranked = df.withColumn(tiebreak, F.xxhash64(*[F.col(c) for c in df.columns]))
-    order = [*cols, tiebreak]
+    cols = [F.col(c) if isinstance(c, str) else c for c in (*by, *keys) if not isinstance(c, str) or c in df.columns]
+    order = [*cols, F.xxhash64(*[F.col(c) for c in df.columns])]
+    names = [f"_replay_key{i}" for i in range(len(order))]
     parts = num_partitions or max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_partition))
-    return ranked.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop(tiebreak)
+    ranged = df.repartitionByRange(parts, *order)
+    return ranged.select("*", *[c.alias(n) for c, n in zip(order, names)]).sortWithinPartitions(*names).drop(*names)
 
 
 def message_key(cols: Sequence[str], value: F.Column | None = None) -> F.Column:
@@ -105,36 +109,44 @@ def to_payload(
 
 
 def with_running_number(df: DataFrame, order: Sequence[str], number_col: str = "number",
-                        rows_per_partition: int = 2_000_000, keep: Sequence[str] | None = None) -> DataFrame:
+                        rows_per_partition: int = 500_000, keep: Sequence[str] | None = None) -> DataFrame:
     """The rows sorted by ``order`` and numbered 0, 1, ... along it.
 
-    No task sees all rows: the sort is range-partitioned, its result is
-    checkpointed (so that counting and numbering speak of the same partitions,
-    also when an executor is lost in between), each partition is counted, and a
-    row's number is the count of all partitions before its own plus its place
-    inside.  The driver holds one count for each partition.  Rows that are equal
+    No task sees all rows: the sort is range-partitioned, each partition is written
+    as a compressed file to the shared folder (so that counting and numbering speak of the
+    same rows, also when an executor is lost in between), the rows of each file are
+    counted, and a row's number is the count of all files before its own plus its place
+    inside.  The driver holds one count for each file.  Rows that are equal
     get numbers of their own; where ``order`` leaves rows undecided, a hash of the
     whole row decides first.  Columns that only the order needs are left out of what
     is stored if ``keep`` names the others.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     ordered = replay_order(df, keys=tuple(order), rows_per_partition=rows_per_partition)
-    ordered = ordered.select(*(df.columns if keep is None else keep)).checkpoint()
-    place = ordered.withColumn("_place", F.monotonically_increasing_id())
-    part = F.shiftright("_place", 33)
-    counts = place.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()
+    ordered = ordered.select(*(df.columns if keep is None else keep))
+    # (by position: a file's columns may not share a name or be without a type)
+    stored = ordered.toDF(*(f"c{i}" for i in range(len(ordered.columns))))
+    typed = [f.name for f in stored.schema if not isinstance(f.dataType, NullType)]
+    path = scratch_path(spark, "ordered-rows")
+    stored.select(*typed, F.lit(True).alias("row")).write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(StructType([*(f for f in stored.schema if f.name in typed), StructField("row", BooleanType())])).parquet(path)
+    del stored
+    free_shuffles(spark)
+    # A task's rows are one file, in their order, whatever the splits that it is read in.
+    place = rows.select(*typed, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    counts = place.groupBy("_file").agg(F.count("*").alias("n")).collect()
     before, offsets = 0, []
-    for row in counts:
-        offsets.append((row["_part"], before))
+    for row in sorted(counts, key=lambda r: int(r["_file"].split("-")[1])):
+        offsets.append((row["_file"], before))
         before += row["n"]
-    table = spark.createDataFrame(offsets, "_part long, _before long")
-    numbered = place.withColumn("_part", part).join(F.broadcast(table), "_part")
-    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return numbered.select(*ordered.columns, (F.col("_before") + inside).alias(number_col))
+    table = spark.createDataFrame(offsets, "_file string, _before long")
+    numbered = place.join(F.broadcast(table), "_file")
+    return numbered.select(
+        *[(F.col(f"c{i}") if f"c{i}" in typed else F.lit(None)).alias(name) for i, name in enumerate(ordered.columns)],
+        (F.col("_before") + F.col("_place")).alias(number_col))
 
 
-def replay_messages(lines: DataFrame, ms_per_tick: float = DEFAULT_MS_PER_TICK, rows_per_partition: int = 2_000_000) -> DataFrame:
+def replay_messages(lines: DataFrame, ms_per_tick: float = DEFAULT_MS_PER_TICK, rows_per_partition: int = 500_000) -> DataFrame:
     """``number, topic, key, value`` of raw match-log lines (with their place, see
     :func:`fragstat.sources.lines.read_numbered_lines`), in the order of a replay:
     tick by tick, in each tick file by file, in each file line by line.

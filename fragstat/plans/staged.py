@@ -13,7 +13,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import scratch_path
+from ..config import free_shuffles, scratch_path
 from ..functions.decode import decode_csv, encode_csv
 from ..functions.routing import raw_field
 from ..operators import dashboards as dash
@@ -58,25 +58,27 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines of both event kinds with the match file that each belongs to and
-    its place there (by tick, then by a digest of the line).  Lines of every 3rd
-    tick are followed by empty lines, of every 5th by lines of blanks."""
+    its place there (by tick, then by a digest of the line).  Lines of every
+    3rd tick are followed by empty lines, of every 5th by lines of blanks; those alone carry the digest."""
     parts = []
     for kind, events in (("kills", kills_view(spark, sf_dir)), ("damages", damages_view(spark, sf_dir))):
         cols = [c for c in events.columns if c != REPLAY_TIME_COLUMN]
         parts.append(events.select(
             F.concat("match_checksum", F.lit(f"_{kind}.csv")).alias("file_name"), "tick", encode_csv(cols).alias("line")))
-    lines = parts[0].unionByName(parts[1]).withColumn("digest", F.md5("line"))
+    lines = parts[0].unionByName(parts[1]).withColumn("digest", F.unhex(F.md5("line")))
     blank = F.when(F.col("tick") % 3 == 0, F.lit("")).when(F.col("tick") % 5 == 0, F.lit("  "))
     # (how many lines an event gives is told by its tick alone: counting encodes nothing)
     places = F.explode(F.when(blank.isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1))))
     both = lines.select("file_name", "tick", "digest", "line", places.alias("follows"))
-    return both.select("file_name", "tick", "digest", "follows", F.when(F.col("follows") == 1, blank).otherwise(F.col("line")).alias("line"))
+    return both.select("file_name", "tick", F.when(F.col("follows") == 1, F.col("digest")).alias("digest"), "follows", F.when(F.col("follows") == 1, blank).otherwise(F.col("line")).alias("line"))
 
 
 def stage_line_files(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_path(spark, "matchlogs", "ordered")
-    write_ordered_lines(line_files(spark, sf_dir), folder, "frame,tick,round", ("tick", "digest", "follows"),
-                        lines_per_part=20_000)
+    write_ordered_lines(
+        line_files(spark, sf_dir), folder, "frame,tick,round",
+        ("tick", F.coalesce("digest", F.unhex(F.md5("line"))), "follows"), sent=("tick", "digest", "follows"), lines_per_part=20_000)
+    free_shuffles(spark)
     return folder
 
 

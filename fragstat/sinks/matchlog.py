@@ -13,10 +13,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..config import free_shuffles
 from ..functions.decode import ENCODE_OPTIONS
 from ..operators.replay import replay_order
 from ..schemas import REPLAY_TIME_COLUMN
@@ -25,6 +26,10 @@ WRITTEN_FILES = "*.csv"
 #: Of ``monotonically_increasing_id``: the bits that count a task's rows, below those of its number.
 PLACE_BITS = 33
 PLACE_MASK = (1 << PLACE_BITS) - 1
+#: Lines that a task sorts, in memory.
+ROWS_PER_TASK = 500_000
+#: Lines that are sorted at once: their shuffle is on disk.
+ROWS_AT_ONCE = 150_000_000
 
 
 def _one_line(df: DataFrame) -> DataFrame:
@@ -74,8 +79,9 @@ def _with_headers(header: str, lines_per_part: int) -> Callable[[Iterator[pa.Rec
     return add
 
 
-def write_ordered_lines(lines: DataFrame, folder: str, header: str, order: tuple[str, ...],
-                        file_col: str = "file_name", line_col: str = "line", lines_per_part: int = 1_000_000) -> None:
+def write_ordered_lines(lines: DataFrame, folder: str, header: str, order: tuple[str | Column, ...],
+                        file_col: str = "file_name", line_col: str = "line", lines_per_part: int = 1_000_000,
+                        sent: tuple[str, ...] | None = None, rows_at_once: int = ROWS_AT_ONCE) -> None:
     """Write raw lines as match-log files into the new folder ``folder``: a folder
     for each value of ``file_col``, in which the lines stand in ``order`` under
     the ``header``.  Read them with :mod:`fragstat.sources.lines`.
@@ -85,15 +91,34 @@ def write_ordered_lines(lines: DataFrame, folder: str, header: str, order: tuple
     each other; every ``lines_per_part`` rows of a task a new part begins (with a header
     of its own).  A part is named by its task's number and its own, 10 digits each.  Each
     task writes the rows that it has sorted: one shuffle, nothing stored in between.
+
+    ``order`` may have expressions over the columns that are ``sent`` (those that it
+    names, if not given) besides the file and the line.  Files are compressed.  Beyond
+    ``rows_at_once`` lines they are written in rounds, each file in one of them, so that only one
+    round's shuffle is on disk.
     """
-    ordered = replay_order(
-        lines.select(F.col(file_col).alias("file"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
-                     F.col(line_col).alias("value")),
-        ["file", *(f"_order{i}" for i in range(len(order)))])
-    placed = ordered.select("file", "value", F.monotonically_increasing_id().alias("place")).mapInArrow(
+    sent = tuple(c for c in order if isinstance(c, str)) if sent is None else sent
+    lines = lines.select(*dict.fromkeys((file_col, *sent, line_col)))
+    spark = lines.sparkSession
+    many = -(-lines.count() // rows_at_once)
+    if many <= 1:
+        _write_round(lines, folder, header, (file_col, *order), file_col, line_col, lines_per_part, "errorifexists")
+        return
+    for k in range(many):
+        own = lines.where(F.pmod(F.xxhash64(file_col), F.lit(many)) == k)
+        _write_round(own, folder, header, (file_col, *order), file_col, line_col, lines_per_part,
+                     "append" if k else "errorifexists")
+        free_shuffles(spark)
+
+
+def _write_round(lines: DataFrame, folder: str, header: str, order: tuple[str | Column, ...], file_col: str, line_col: str,
+                 lines_per_part: int, mode: str) -> None:
+    ordered = replay_order(lines, order, rows_per_partition=ROWS_PER_TASK)
+    placed = ordered.select(
+        F.col(file_col).alias("file"), F.col(line_col).alias("value"), F.monotonically_increasing_id().alias("place")).mapInArrow(
         _with_headers(header, lines_per_part), "file string, value string, place long")
     part = F.call_function("div", F.col("place").bitwiseAND(F.lit(PLACE_MASK)), F.lit(lines_per_part).cast("long"))
     chunk = F.concat(*[F.lpad(n.cast("string"), 10, "0") for n in (F.shiftright("place", PLACE_BITS), part)])
     keys = ["file", "chunk"]
     rows = placed.select("value", "file", chunk.alias("chunk"), "place").sortWithinPartitions(*keys, "place")
-    rows.select("value", *keys).write.mode("errorifexists").partitionBy(*keys).text(folder)
+    rows.select("value", *keys).write.mode(mode).option("compression", "gzip").partitionBy(*keys).text(folder)

@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from fragstat.operators.replay import replay_messages, unplayable_lines, with_running_number
+from fragstat.operators.replay import replay_messages, replay_order, unplayable_lines, with_running_number
 from fragstat.sinks.matchlog import write_ordered_lines
 from fragstat.sources.lines import LINE_ORDER, read_numbered_lines
 
@@ -97,3 +98,44 @@ def test_counting_event_lines_encodes_nothing(spark):
     from fragstat.plans.staged import line_files
     plan = line_files(spark, SF_SMALL).groupBy().count()._jdf.queryExecution().optimizedPlan().toString()
     assert "to_csv" not in plan and "md5" not in plan
+
+
+def test_sort_keys_that_are_computed_are_not_sent(spark):
+    from conftest import SF_SMALL
+
+    from fragstat.plans.inspect import plan_text
+    from fragstat.plans.staged import line_files
+    df = spark.createDataFrame([("f", 1, "x")], "file_name string, tick int, line string")
+    ordered = replay_order(df, ["file_name", F.md5("line")], num_partitions=3)
+    assert ordered.columns == df.columns
+    above, below = plan_text(ordered).split("Exchange", 1)
+    assert "_replay_key" in above and "_replay_key" not in below
+    assert not line_files(spark, SF_SMALL).where("(follows = 0) = (digest IS NOT NULL)").count()
+
+
+def test_lines_are_written_in_rounds_and_compressed(spark, tmp_path):
+    draw = random.Random(5)
+    rows = [(f"m{i % 7}_kills.csv", draw.randint(0, 5), f"{draw.randint(0, 99)}" * 9) for i in range(700)]
+    df = spark.createDataFrame(rows, "file_name string, tick int, line string").repartition(3)
+    got = []
+    for name, at_once in (("whole", 10_000), ("rounds", 200)):
+        out = str(tmp_path / name)
+        write_ordered_lines(df, out, "h", ("tick", F.md5("line")), lines_per_part=30, sent=("tick",), rows_at_once=at_once)
+        got.append([(r.file_name, r.line) for r in read_numbered_lines(spark, out).orderBy(*LINE_ORDER).collect()])
+        files = [p for p in (tmp_path / name).rglob("part-*")]
+        assert len(files) >= 700 // 30 and all(p.suffix == ".gz" for p in files)
+    assert got[0] == got[1] == [(f, x) for f, _, x in sorted(
+        rows, key=lambda r: (r[0], r[1], hashlib.md5(r[2].encode()).hexdigest()))]
+
+
+def test_sorted_rows_are_stored_compressed(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def stored(*args, **more):
+        raise AssertionError("a checkpoint is not compressed")
+    monkeypatch.setattr(DataFrame, "checkpoint", stored)
+    df = spark.range(3000).select((F.col("id") * 7 % 3000).alias("n"), F.lit(None).alias("none"), F.lit("x").alias("a b"))
+    got = with_running_number(df, ["n"], rows_per_partition=100)
+    assert got.columns == ["n", "none", "a b", "number"] and dict(got.dtypes)["none"] == "void"
+    assert [(r.n, r.none, r["a b"], r.number) for r in got.orderBy("number").collect()] == [
+        (i, None, "x", i) for i in range(3000)]
