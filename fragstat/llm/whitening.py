@@ -44,8 +44,6 @@ _TOO_LARGE = float(1 << 63)
 _EPS = np.finfo(float).eps
 #: An off-diagonal entry of this share splits a qd array; its effect is of second order.
 _NEGLIGIBLE = (10 * _EPS) ** 2
-#: Transforms without a split after which shifts are no longer left at zero.
-_STALLED = 20
 
 
 @dataclass(frozen=True)
@@ -121,7 +119,7 @@ def singular_values_squared(diagonal: np.ndarray, above: np.ndarray) -> np.ndarr
     """The squares of the singular values of an upper bidiagonal, falling, by dqds.
 
     Values that nearly agree make shifts of zero useless, as the ratio of neighbours is
-    the rate then.  So an array that does not split gets a quarter of the smallest d, an
+    the rate then.  So an array that does not end gets a quarter of the smallest d, an
     upper bound for the smallest value, at least, and a shift that is too large is divided
     until it holds: each transform takes off a share of the smallest value.
     """
@@ -131,7 +129,7 @@ def singular_values_squared(diagonal: np.ndarray, above: np.ndarray) -> np.ndarr
         q, e, sigma = blocks.pop()
         if len(q) > 1 and q[0] < q[-1]:  # small values belong to the end
             q, e = q[::-1], e[::-1]
-        shift, left, since = 0.0, 60 * len(q) + 100, 0
+        shift, left, stalled = 0.0, (most := 60 * len(q) + 100), False
         while q:
             if len(q) == 1:
                 found.append(sigma + max(q[0], 0.0))
@@ -140,24 +138,26 @@ def singular_values_squared(diagonal: np.ndarray, above: np.ndarray) -> np.ndarr
                         if e[k] <= _NEGLIGIBLE * (sigma + min(q[k], q[k + 1]))), None)
             if cut is not None:
                 blocks.append((q[:cut + 1], e[:cut], sigma))
-                q, e, shift, since = q[cut + 1:], e[cut + 1:], 0.0, 0
+                q, e, shift = q[cut + 1:], e[cut + 1:], 0.0
                 continue
-            left, since = left - 1, since + 1
+            left -= 1
             if left < 0:
-                raise ArithmeticError("the qd iteration does not converge")
+                if stalled:
+                    raise ArithmeticError("the qd iteration does not converge")
+                left, stalled = most, True
             new_q, new_e, least = _qd_step(q, e, shift)
             if least < 0 and shift:
                 late = bool(new_q) and all(x >= 0 for x in new_q[:-1])
                 new_q, new_e, least = _qd_step(q, e, retry) if late and (retry := shift + new_q[-1]) > 0 else ([], [], -1.0)
                 shift = retry if late and retry > 0 else shift
-                while least < 0 and since > _STALLED and shift > _EPS * (sigma + shift):
+                while least < 0 and stalled and shift > _EPS * (sigma + shift):
                     shift /= 4
                     new_q, new_e, least = _qd_step(q, e, shift)
                 if least < 0:
                     shift = 0.0
                     new_q, new_e, least = _qd_step(q, e, 0.0)
             q, e, sigma = new_q, new_e, sigma + shift
-            shift = max(_guess(q, e), least / 4 if since > _STALLED else 0.0)
+            shift = max(_guess(q, e), least / 4 if stalled else 0.0)
     return np.array(sorted(found, reverse=True))
 
 
